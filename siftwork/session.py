@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -62,3 +63,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
+
+
+def broadcast_if_small(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """Hint a broadcast only after counting at most ``limit`` narrow rows.
+
+    Beyond the limit the join stays an ordinary shuffle join, whose skewed
+    partitions adaptive execution splits.
+    """
+    if df.limit(limit + 1).count() <= limit:
+        return F.broadcast(df)
+    return df
