@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MASK = 0xFFFFFFFF
@@ -29,16 +29,42 @@ def _times(a: Column, b: Column) -> Column:
     return (high + low).bitwiseAND(F.lit(MASK))
 
 
-def uniform(seed: str, n: Column) -> Column:
-    """Draw number ``n`` (from 1) of the stream named ``seed``, in [0, 1)."""
+def _state(seed: str, n: Column) -> Column:
     turns = n.cast("bigint").bitwiseAND(F.lit(MASK))
-    s = (F.lit(seed_state(seed)) + _times(turns, F.lit(STEP))).bitwiseAND(F.lit(MASK))
-    t = _times(s.bitwiseXOR(F.shiftright(s, 15)), s.bitwiseOR(F.lit(1)))
+    return (F.lit(seed_state(seed)) + _times(turns, F.lit(STEP))).bitwiseAND(F.lit(MASK))
+
+
+def _mix(s: Column) -> Column:
+    return _times(s.bitwiseXOR(F.shiftright(s, 15)), s.bitwiseOR(F.lit(1)))
+
+
+def _stir(t: Column) -> Column:
     u = _times(t.bitwiseXOR(F.shiftright(t, 7)), t.bitwiseOR(F.lit(61)))
-    t = (t + u).bitwiseAND(F.lit(MASK)).bitwiseXOR(t)
+    return (t + u).bitwiseAND(F.lit(MASK)).bitwiseXOR(t)
+
+
+def _fraction(t: Column) -> Column:
     return t.bitwiseXOR(F.shiftright(t, 14)) / F.lit(float(TWO32))
 
 
+def uniform(seed: str, n: Column) -> Column:
+    """Draw number ``n`` (from 1) of the stream named ``seed``, in [0, 1)."""
+    return _fraction(_stir(_mix(_state(seed, n))))
+
+
+def with_draws(df: DataFrame, seed: str, **numbers: Column) -> DataFrame:
+    """Add several draws of one stream as columns: name = draw number.
+
+    The steps are separate projections. They run in one generated loop like
+    :func:`uniform`, but no step is written out again inside the next.
+    """
+    names = list(numbers)
+    staged = df.withColumns({name: _state(seed, n) for name, n in numbers.items()})
+    for step in (_mix, _stir, _fraction):
+        staged = staged.withColumns({name: step(F.col(name)) for name in names})
+    return staged
+
+
 def pick(draw: Column, options: list[str]) -> Column:
     """Element of ``options`` at floor(draw * n)."""
     index = F.floor(draw * len(options)).cast("int") + 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwork.functions.draws import pick, uniform
+from siftwork.functions.draws import pick, with_draws
 from siftwork.operators.ordering import dense_ordinal
 
 # Persona ids in drawing order, with label and voice. ``{product}``
@@ -57,22 +57,15 @@ def ring_join(
     ``index``. The join is an equi-join on the position, and a plan row gathers
     no more ids than its window is long.
     """
-    wanted = plan.select(
-        "index",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(0), F.col(size) - 1),
-                lambda j: F.pmod(F.col(start) + j, F.lit(total)).cast("bigint"),
-            )
-        ).alias("slot", "ordinal"),
+    slots = plan.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col(size) - 1)))
+    wanted = slots.withColumn("ordinal", F.pmod(F.col(start) + F.col("slot"), F.lit(total)))
+    ids = chunks.select("ordinal", F.col(chunk_id).cast("string").alias("_id"))
+    gathered = F.array_sort(F.collect_list(F.struct("slot", "_id")))
+    return (
+        wanted.join(ids, "ordinal")
+        .groupBy(*plan.columns)
+        .agg(F.transform(gathered, lambda s: s["_id"]).alias("chunk_ids"))
     )
-    found = wanted.join(chunks.select("ordinal", F.col(chunk_id).cast("string").alias("_id")), "ordinal")
-    gathered = found.groupBy("index").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("slot", "_id"))), lambda s: s["_id"]).alias(
-            "chunk_ids"
-        )
-    )
-    return plan.join(gathered, "index")
 
 
 def qa_plan(
@@ -86,11 +79,12 @@ def qa_plan(
     numbered = dense_ordinal(chunks.select(chunk_id), chunk_id)
     total = numbered.count()
     base = F.col("index") * 3
-    plan = rows.select(
+    drawn = with_draws(rows.select("index"), seed, _p=base + 1, _d=base + 2, _c=base + 3)
+    plan = drawn.select(
         "index",
-        draw_persona(uniform(seed, base + 1)).alias("persona"),
-        draw_difficulty(uniform(seed, base + 2)).alias("difficulty"),
-        F.floor(uniform(seed, base + 3) * total).alias("start"),
+        draw_persona(F.col("_p")).alias("persona"),
+        draw_difficulty(F.col("_d")).alias("difficulty"),
+        F.floor(F.col("_c") * total).alias("start"),
     ).withColumn("size", window_size(F.col("difficulty")))
     return ring_join(plan, numbered, chunk_id, total, "start", "size")
 
@@ -149,14 +143,17 @@ def trajectory_plan(
     base = F.col("index") * _DRAWS
     sizes = F.create_map(*[F.lit(v) for kv in TRAJECTORY_CHUNKS.items() for v in kv])
     kind = F.col("kind")
-    tool_count = F.when(kind == "multiTurn", 2 + F.floor(uniform(seed, base + 5) * 2)).otherwise(2)
+    tool_count = F.when(kind == "multiTurn", 2 + F.floor(F.col("_n") * 2)).otherwise(2)
     picked = distinct_picks(F.col("index"), tools, F.least(tool_count, F.lit(len(tools))), seed)
-    plan = rows.select(
+    drawn = with_draws(
+        rows.select("index", "kind"), seed, _p=base + 1, _d=base + 2, _c=base + 3, _t=base + 4, _n=base + 5
+    )
+    plan = drawn.select(
         "index",
         "kind",
-        draw_persona(uniform(seed, base + 1)).alias("persona"),
-        draw_difficulty(uniform(seed, base + 2)).alias("difficulty"),
-        F.floor(uniform(seed, base + 3) * total).alias("start"),
+        draw_persona(F.col("_p")).alias("persona"),
+        draw_difficulty(F.col("_d")).alias("difficulty"),
+        F.floor(F.col("_c") * total).alias("start"),
         F.least(F.element_at(sizes, kind), F.lit(total)).alias("size"),
         F.when(kind == "singleTurn", F.array(balanced_tool(F.col("index"), tools)))
         .when(kind == "refusal", F.array().cast("array<string>"))
@@ -164,7 +161,7 @@ def trajectory_plan(
         .alias("tools"),
         F.when(
             kind == "parallelDep",
-            F.when(uniform(seed, base + 4) < 0.5, "parallel").otherwise("dependent"),
+            F.when(F.col("_t") < 0.5, "parallel").otherwise("dependent"),
         ).alias("dependency"),
     )
     return ring_join(plan, numbered, chunk_id, total, "start", "size")

@@ -189,15 +189,14 @@ def with_context(plan: DataFrame, chunks: DataFrame, chunk_id: str, text: str) -
 
     Plan windows are at most a few chunks long, so each group stays small.
     """
-    slots = plan.select("index", F.posexplode("chunk_ids").alias("slot", "_id"))
+    slots = plan.select("*", F.posexplode("chunk_ids").alias("_slot", "_id"))
     texts = chunks.select(F.col(chunk_id).cast("string").alias("_id"), F.col(text).alias("_text"))
-    joined = slots.join(texts, "_id").groupBy("index").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("slot", "_text"))), lambda s: s["_text"]),
-            CHUNK_RULE,
-        ).alias("context")
+    gathered = F.array_sort(F.collect_list(F.struct("_slot", "_text")))
+    return (
+        slots.join(texts, "_id")
+        .groupBy(*plan.columns)
+        .agg(F.array_join(F.transform(gathered, lambda s: s["_text"]), CHUNK_RULE).alias("context"))
     )
-    return plan.join(joined, "index")
 
 
 def tool_lines(tools: list[dict]) -> str:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from siftwork.functions import minhash, text
-from siftwork.functions.draws import hash_score, uniform
+from siftwork.functions.draws import hash_score, uniform, with_draws
 from siftwork.functions.vectors import agreement, cosine
 from siftwork.operators import chunking, dedup, ordering, planning, prompts, splitting, vectors
 from siftwork.plans.checks import (
@@ -22,7 +22,7 @@ from siftwork.plans.checks import (
     words_sql,
 )
 from siftwork.plans.registry import query, table
-from siftwork.session import checkpoint_dir
+from siftwork.session import checkpoint_dir, cut
 from siftwork.sources import readers, sinks
 
 SALT = splitting.SALT
@@ -157,10 +157,11 @@ def seeded_draws(spark, d):
 )
 def persona_draws(spark, d):
     n = F.col("doc_id") * 2
-    return documents(spark, d, "doc_id").select(
+    drawn = with_draws(documents(spark, d, "doc_id"), "qa-gen-v1", p=n + 1, q=n + 2)
+    return drawn.select(
         "doc_id",
-        planning.draw_persona(uniform("qa-gen-v1", n + 1)).alias("persona"),
-        planning.draw_difficulty(uniform("qa-gen-v1", n + 2)).alias("difficulty"),
+        planning.draw_persona(F.col("p")).alias("persona"),
+        planning.draw_difficulty(F.col("q")).alias("difficulty"),
     )
 
 
@@ -285,6 +286,7 @@ _RETRY = "idx % 5 = 0"
 )
 def retry_prompts(spark, d):
     plan = prompts.with_context(_qa_plan(spark, d), _train_docs(spark, d, "text"), "doc_id", "text")
+    plan = cut(plan)  # the prompt table is handed to the generator, so it is stored once
     first = plan.select("index", F.lit("system").alias("system"), F.col("context").alias("user"))
     rejected = plan.filter("index % 5 = 0").select(
         "index", (F.col("index") % 3).cast("int").alias("attempt"), F.lit("bad call").alias("reason")
