@@ -19,16 +19,28 @@ def variant_type(value: Column) -> Column:
     )
 
 
+def strict_json(raw: Column) -> Column:
+    """Variant of a text that is one JSON value and nothing else, or null.
+
+    ``try_parse_json`` reads the first value and ignores what follows. A text
+    that parses both inside ``[...]`` and inside ``{"v":...}`` has no rest:
+    what closes one bracket early is an error in the other.
+    """
+    in_array = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), raw, F.lit("}")))
+    return F.when(in_array.isNotNull() & in_object.isNotNull(), F.try_parse_json(raw))
+
+
 def tool_arguments(raw: Column) -> Column:
     """A JSON object as a variant; bad JSON, arrays, scalars and nulls become ``{}``."""
-    parsed = F.try_parse_json(raw)
+    parsed = strict_json(raw)
     empty = F.parse_json(F.lit("{}"))
     return F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed).otherwise(empty)
 
 
 def recorded_result(raw: Column) -> Column:
     """Parsed JSON, or the raw string itself as a variant when it does not parse."""
-    return F.coalesce(F.try_parse_json(raw), raw.cast("variant"))
+    return F.coalesce(strict_json(raw), raw.cast("variant"))
 
 
 def result_text(value: Column) -> Column:
@@ -43,4 +55,4 @@ def canonical_json(raw: Column) -> Column:
     Unparsable input is compared as the string it is. ``1e0`` prints as ``1.0``
     and objects with a repeated key do not parse; both stay as they are.
     """
-    return F.coalesce(F.to_json(F.try_parse_json(raw)), raw)
+    return F.coalesce(F.to_json(strict_json(raw)), raw)

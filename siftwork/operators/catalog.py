@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwork.functions.jsons import canonical_json, tool_arguments, variant_type
+from siftwork.functions.jsons import canonical_json, strict_json, tool_arguments, variant_type
 from siftwork.functions.text import normalise_name, truncate
 
 GATES = ["schema", "parse", "sandbox", "fuzz", "trajectory"]
@@ -138,7 +138,7 @@ def declared_schema_fault(parameters: Column) -> Column:
     The schema must be a JSON object; types and keywords must be known, for the
     schema itself, its properties and their items.
     """
-    parsed = F.try_parse_json(parameters)
+    parsed = strict_json(parameters)
     keywords = F.array(*[F.lit(k) for k in SCHEMA_KEYWORDS])
     types = F.array(*[F.lit(t) for t in SCHEMA_TYPES])
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwork.functions.jsons import tool_arguments, variant_type
+from siftwork.functions.jsons import strict_json, tool_arguments, variant_type
 from siftwork.functions.text import bind
 
 Factory = Callable[[Column], Column]
@@ -107,7 +107,7 @@ def claims_extractor(args: Column) -> Column:
     body = F.translate(F.get(parts, F.lit(1)), "-_", "+/")
     padded = F.rpad(body, F.ceil(F.length(body) / 4).cast("int") * 4, F.lit("="))
     decoded = F.try_to_binary(padded, F.lit("base64")).cast("string")
-    claims = F.when(F.size(parts) >= 3, F.try_parse_json(decoded))
+    claims = F.when(F.size(parts) >= 3, strict_json(decoded))
 
     def claim(key: str, kind: str) -> Column:
         value = F.try_variant_get(claims, f"$.{key}", "variant")
