@@ -54,7 +54,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give CPU-heavy row work at least one partition per core.
+    """Give CPU-heavy row work at least one partition per core, three when it shuffles.
 
     Only an input with fewer partitions than cores (a few small files) is
     shuffled; a large input already has enough splits and is left alone.
@@ -62,7 +62,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, *keys)
+    return df.repartition(3 * cores, *keys)
 
 
 def broadcast_if_small(df: DataFrame, limit: int = 100_000) -> DataFrame:
