@@ -77,11 +77,11 @@ def log_points(spark, d):
 
 @query(
     "reward_variance",
-    f"""WITH {_POINTS} SELECT run_id, seq, round(var_pop(reward) OVER w, 6) AS variance, first_value(seq) OVER w AS opened FROM pts
+    f"""WITH {_POINTS} SELECT run_id, seq, round(var_pop(reward) OVER w, 10) AS variance, first_value(seq) OVER w AS opened FROM pts
     WHERE reward IS NOT NULL WINDOW w AS (PARTITION BY run_id ORDER BY seq ROWS 9 PRECEDING) QUALIFY count(*) OVER w = 10""",
 )
 def reward_variance(spark, d):
-    return telemetry.reward_variance(_points(spark, d)).withColumn("variance", F.round("variance", 6))
+    return telemetry.reward_variance(_points(spark, d)).withColumn("variance", F.round("variance", 10))
 
 
 @query(
