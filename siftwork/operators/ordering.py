@@ -38,12 +38,38 @@ def dense_ordinal(df: DataFrame, *order: str | Column, out: str = "ordinal") ->
     )
 
 
+def running_counts(df: DataFrame, group: str, order: str, **flags: Column) -> DataFrame:
+    """Add, per flag, how many earlier rows of the same group carry it.
+
+    One placement serves all flags, and a group of any size is spread over
+    range partitions: counts run within a partition and are shifted by those
+    of the group's partitions before (one small row per group and partition).
+    """
+    placed = cut(
+        df.repartitionByRange(group, order)
+        .sortWithinPartitions(group, order)
+        .withColumn("_at", F.monotonically_increasing_id())
+    ).withColumn("_part", F.shiftright("_at", _LOCAL_BITS))
+    marks = {name: F.coalesce(flag, F.lit(False)).cast("bigint") for name, flag in flags.items()}
+    sizes = placed.groupBy(group, "_part").agg(*[F.sum(m).alias(n) for n, m in marks.items()])
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        group, "_part", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_{n}") for n in flags]
+    )
+    inside = Window.partitionBy(group, "_part").orderBy("_at")
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    running = placed.withColumns(
+        {n: F.coalesce(F.sum(m).over(inside), F.lit(0)) for n, m in marks.items()}
+    )
+    joined = running.join(broadcast_if_small(offsets), [group, "_part"])
+    return joined.withColumns({n: F.col(n) + F.col(f"_{n}") for n in flags}).drop(
+        "_at", "_part", *[f"_{n}" for n in flags]
+    )
+
+
 def position_within(df: DataFrame, group: str, order: str, out: str = "at") -> DataFrame:
     """Dense position from 0 within each group, also for one huge group."""
-    numbered = dense_ordinal(df, group, order, out="_g")
-    starts = numbered.groupBy(group).agg(F.min("_g").alias("_g0"))
-    joined = numbered.join(broadcast_if_small(starts), group)
-    return joined.withColumn(out, F.col("_g") - F.col("_g0")).drop("_g", "_g0")
+    return running_counts(df, group, order, **{out: F.lit(True)})
 
 
 def slice_of(ordinal: Column, slices: int) -> Column:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftwork.operators.ordering import position_within
+from siftwork.operators.ordering import running_counts
 from siftwork.session import broadcast_if_small, cut
 
 BLOCK = 8192
@@ -111,8 +111,22 @@ def is_bad(loss: Column) -> Column:
 # --- blocks of a run ------------------------------------------------------------
 
 
-def _in_run_order(points: DataFrame) -> DataFrame:
-    return position_within(points, "run_id", "seq")
+def placed_points(points: DataFrame) -> DataFrame:
+    """Points with their positions among the run's rewards, losses and good losses.
+
+    Stored once; all signal operators read it.
+    """
+    reward, loss = F.col("reward"), F.col("loss")
+    return cut(
+        running_counts(
+            points.select("run_id", "seq", "iter", "loss", "reward"),
+            "run_id",
+            "seq",
+            at_reward=reward.isNotNull() & ~is_bad(reward),
+            at_loss=loss.isNotNull(),
+            at_good=loss.isNotNull() & ~is_bad(loss),
+        )
+    )
 
 
 def _blocks(placed: DataFrame, overlap: int) -> DataFrame:
@@ -126,14 +140,15 @@ def _blocks(placed: DataFrame, overlap: int) -> DataFrame:
     return placed.withColumn("_copy", F.explode(copies)).select("*", "_copy.*").drop("_copy")
 
 
-def reward_variance(points: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def reward_variance(placed: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Population variance of the last ``window`` finite rewards once there are that many.
 
-    Returns ``(run_id, seq, variance, opened)``; ``opened`` is the seq of the
-    oldest reward in the window.
+    Takes placed points. Returns ``(run_id, seq, variance, opened)``;
+    ``opened`` is the seq of the oldest reward in the window.
     """
-    rewards = points.filter("reward is not null").filter(~is_bad(F.col("reward")))
-    blocks = _blocks(_in_run_order(rewards.select("run_id", "seq", "reward")), limits.window - 1)
+    rewards = placed.filter("reward is not null").filter(~is_bad(F.col("reward")))
+    rewards = rewards.select("run_id", "seq", "reward", F.col("at_reward").alias("at"))
+    blocks = _blocks(rewards, limits.window - 1)
     order = Window.partitionBy("run_id", "block").orderBy("at")
     frame = order.rowsBetween(1 - limits.window, 0)
     return (
@@ -144,11 +159,13 @@ def reward_variance(points: DataFrame, limits: Limits = Limits()) -> DataFrame:
     )
 
 
-def bad_losses(points: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def bad_losses(placed: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Bad losses that end a streak of ``bad_streak``: ``(run_id, seq, opened)``."""
-    losses = points.filter("loss is not null").select("run_id", "seq", is_bad(F.col("loss")).alias("bad"))
+    losses = placed.filter("loss is not null").select(
+        "run_id", "seq", is_bad(F.col("loss")).alias("bad"), F.col("at_loss").alias("at")
+    )
     reach = limits.bad_streak - 1
-    blocks = _blocks(_in_run_order(losses), reach)
+    blocks = _blocks(losses, reach)
     order = Window.partitionBy("run_id", "block").orderBy("at")
     return (
         blocks.withColumn("_all", F.min("bad").over(order.rowsBetween(-reach, 0)))
@@ -158,17 +175,16 @@ def bad_losses(points: DataFrame, limits: Limits = Limits()) -> DataFrame:
     )
 
 
-def smoothed_losses(losses: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def smoothed_losses(placed: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Moving average of the good losses of each run, seeded by the first.
 
     Returns ``(run_id, seq, iter, loss, before, after)``; ``before`` is null on
     the first. Every loss is absorbed here: a spike restarts its run, so
     values after a run's first spike are not to be used.
     """
-    good = losses.filter("loss is not null").filter(~is_bad(F.col("loss")))
-    blocks = _blocks(
-        _in_run_order(good.select("run_id", "seq", "iter", "loss")), WARMUP_POINTS
-    )
+    good = placed.filter("loss is not null").filter(~is_bad(F.col("loss")))
+    good = good.select("run_id", "seq", "iter", "loss", F.col("at_good").alias("at"))
+    blocks = _blocks(good, WARMUP_POINTS)
     keep, take = limits.keep, limits.take
 
     def fold(table: pa.Table) -> pa.Table:
@@ -185,15 +201,15 @@ def smoothed_losses(losses: DataFrame, limits: Limits = Limits()) -> DataFrame:
         out = out.append_column("after", pa.array(after, pa.float64()))
         return out.filter(pa.array(~np.asarray(table["lead_in"].to_numpy(zero_copy_only=False), bool)))
 
-    run_type = losses.schema["run_id"].dataType.simpleString()
+    run_type = placed.schema["run_id"].dataType.simpleString()
     schema = (
         f"run_id {run_type}, seq bigint, iter bigint, loss double, before double, after double"
     )
     return blocks.groupBy("run_id", "block").applyInArrow(fold, schema)
 
 
-def _spikes(losses: DataFrame, limits: Limits) -> DataFrame:
-    return smoothed_losses(losses, limits).filter(
+def _spikes(placed: DataFrame, limits: Limits) -> DataFrame:
+    return smoothed_losses(placed, limits).filter(
         (F.col("iter") > limits.warmup_iters)
         & F.col("before").isNotNull()
         & (F.col("loss") > F.col("before") * limits.spike_factor)
@@ -219,12 +235,13 @@ def supervise(points: DataFrame, limits: Limits = Limits()) -> DataFrame:
         F.col("reward").cast("double").alias("reward"),
         "skipped",
     )
+    placed = placed_points(points)
     flat = cut(
-        reward_variance(points, limits).filter(F.col("variance") < limits.variance_floor).select(
+        reward_variance(placed, limits).filter(F.col("variance") < limits.variance_floor).select(
             "run_id", "seq", "opened", F.lit(0).alias("rank"), F.lit("variance").alias("what")
         )
         .unionByName(
-            bad_losses(points, limits).select(
+            bad_losses(placed, limits).select(
                 "run_id", "seq", "opened", F.lit(1).alias("rank"), F.lit("nan").alias("what")
             )
         )
@@ -238,7 +255,6 @@ def supervise(points: DataFrame, limits: Limits = Limits()) -> DataFrame:
             )
         )
     )
-    losses = points.filter("loss is not null").select("run_id", "seq", "iter", "loss")
     run_type = points.schema["run_id"].dataType.simpleString()
     signals = spark.createDataFrame(
         [], f"run_id {run_type}, seq bigint, kind string, reason string, next_rollback_index int"
@@ -246,11 +262,11 @@ def supervise(points: DataFrame, limits: Limits = Limits()) -> DataFrame:
     state = None
     for rollbacks in range(limits.max_rollbacks + 1):
         if state is None:
-            fresh, recent = flat, losses
+            fresh, recent = flat, placed
         else:
             starts = broadcast_if_small(state)
             fresh = flat.join(starts, "run_id").filter("opened > start").drop("start")
-            recent = losses.join(starts, "run_id").filter("seq > start").drop("start")
+            recent = placed.join(starts, "run_id").filter("seq > start").drop("start")
         jumps = _spikes(recent, limits).select(
             "run_id", "seq", F.col("seq").alias("opened"), F.lit(1).alias("rank"), F.lit("spike").alias("what")
         )

@@ -271,7 +271,7 @@ def question_prompts(spark, d):
     plan = prompts.with_context(_qa_plan(spark, d), _train_docs(spark, d, "text"), "doc_id", "text")
     made = prompts.qa_prompts(plan, _tool_specs(), PRODUCT)
     return made.select(
-        "index", F.md5("system").alias("system"), F.length("user").alias("user_chars"), F.md5("user").alias("user")
+        "index", F.md5("system").alias("system"), F.length("user").cast("bigint").alias("user_chars"), F.md5("user").alias("user")
     )
 
 
@@ -292,7 +292,7 @@ def retry_prompts(spark, d):
         "index", (F.col("index") % 3).cast("int").alias("attempt"), F.lit("bad call").alias("reason")
     )
     again, out = prompts.retry_round(first, rejected)
-    return again.select("index", "attempt", F.length("user").alias("grown")).unionByName(
+    return again.select("index", "attempt", F.length("user").cast("bigint").alias("grown")).unionByName(
         out.select("index"), allowMissingColumns=True
     )
 
@@ -499,7 +499,7 @@ def token_counts(spark, d):
 def answer_normalise(spark, d):
     answer = text.normalise_answer(F.col("text"))
     return documents(spark, d, "doc_id", "text").select(
-        "doc_id", F.md5(answer).alias("answer"), F.length(answer).alias("chars")
+        "doc_id", F.md5(answer).alias("answer"), F.length(answer).cast("bigint").alias("chars")
     )
 
 

@@ -81,7 +81,7 @@ def log_points(spark, d):
     WHERE reward IS NOT NULL WINDOW w AS (PARTITION BY run_id ORDER BY seq ROWS 9 PRECEDING) QUALIFY count(*) OVER w = 10""",
 )
 def reward_variance(spark, d):
-    return telemetry.reward_variance(_points(spark, d)).withColumn("variance", F.round("variance", 10))
+    return telemetry.reward_variance(telemetry.placed_points(_points(spark, d))).withColumn("variance", F.round("variance", 10))
 
 
 @query(
@@ -91,7 +91,7 @@ def reward_variance(spark, d):
     SELECT run_id, seq, opened FROM l WHERE isnan(loss) AND p""",
 )
 def bad_loss_streaks(spark, d):
-    return telemetry.bad_losses(_points(spark, d))
+    return telemetry.bad_losses(telemetry.placed_points(_points(spark, d)))
 
 
 @query(
@@ -103,7 +103,7 @@ def bad_loss_streaks(spark, d):
     SELECT run_id, seq, round(level, 6) AS level FROM e""",
 )
 def smoothed_losses(spark, d):
-    smooth = telemetry.smoothed_losses(_points(spark, d))
+    smooth = telemetry.smoothed_losses(telemetry.placed_points(_points(spark, d)))
     return smooth.select("run_id", "seq", F.round("after", 6).alias("level"))
 
 

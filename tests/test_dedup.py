@@ -138,9 +138,15 @@ def test_a_third_of_all_rows_resembles_one_another(spark):
     assert kept == _greedy(_signatures(spark, texts), 0.7)
 
 
-def test_prefix_needs_enough_bands():
+def test_low_thresholds_narrow_the_bands(spark):
+    plan = Plan(threshold=0.2)
+    assert plan.width == 1 and Plan().width == 2
+    texts = _texts(13, families=3, copies=5)
+    rows = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    got = sorted(r["id"] for r in drop_near_duplicates(rows, "id", "text", plan).collect())
+    assert got == _greedy(_signatures(spark, texts), 0.2)
     with pytest.raises(ValueError):
-        Plan(threshold=0.3, rows_per_band=3).prefix  # noqa: B018
+        Plan(threshold=0.0).prefix  # noqa: B018
 
 
 def test_rounds_on_random_graphs(spark):

@@ -128,9 +128,10 @@ def test_long_run_crosses_blocks_exactly(spark, monkeypatch):
     for r in rows:
         level = r[3] if level is None else 0.9 * level + 0.1 * r[3]
         expected.append(level)
-    smooth = telemetry.smoothed_losses(spark.createDataFrame(rows, SHAPE)).orderBy("seq").collect()
+    placed = telemetry.placed_points(spark.createDataFrame(rows, SHAPE))
+    smooth = telemetry.smoothed_losses(placed).orderBy("seq").collect()
     assert [r["after"] for r in smooth] == expected
-    variance = telemetry.reward_variance(spark.createDataFrame(rows, SHAPE)).collect()
+    variance = telemetry.reward_variance(placed).collect()
     assert len(variance) == 6000 - 9
 
 
