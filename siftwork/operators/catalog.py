@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siftwork.functions.jsons import canonical_json, strict_json, tool_arguments, variant_type
 from siftwork.functions.text import normalise_name, truncate
+from siftwork.session import spread
 
 GATES = ["schema", "parse", "sandbox", "fuzz", "trajectory"]
 
@@ -120,7 +121,7 @@ def gate_calls(
         branch = F.when(test, faults) if branch is None else branch.when(test, faults)
     unknown = F.array(F.concat(F.lit("unknown tool: "), F.col(name)))
     faults = unknown if branch is None else branch.otherwise(unknown)
-    checked = calls.withColumn("_args", tool_arguments(F.col(arguments))).withColumn("faults", faults)
+    checked = spread(calls).withColumn("_args", tool_arguments(F.col(arguments))).withColumn("faults", faults)
     return checked.withColumn("valid", F.size("faults") == 0).drop("_args")
 
 

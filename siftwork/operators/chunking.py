@@ -1,7 +1,7 @@
 """Greedy packing of paragraphs into overlapping, token-capped chunks.
 
 Each text row is folded by a higher-order function, so the work stays in the
-JVM and runs in parallel over texts, with no shuffle.
+JVM and runs in parallel over texts; a large input is not shuffled.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.functions.text import bind, paragraphs, token_count
+from siftwork.session import spread
 
 TARGET_TOKENS = 500
 OVERLAP_TOKENS = 50
@@ -81,9 +82,10 @@ def chunk_texts(
     counter: Counter = token_count,
 ) -> DataFrame:
     """``(id, source, text, token_count, ordinal)``: one row per chunk."""
-    folded = texts.select(
-        F.col(source).cast("string").alias("source"),
-        F.posexplode(packed(paragraphs(F.col(text), separator), counter)).alias("ordinal", "text"),
+    rows = spread(texts.select(F.col(source).cast("string").alias("source"), F.col(text).alias("_t")))
+    folded = rows.select(
+        "source",
+        F.posexplode(packed(paragraphs(F.col("_t"), separator), counter)).alias("ordinal", "text"),
     )
     return folded.select(
         chunk_id(F.col("source"), F.col("ordinal")).alias("id"),

@@ -53,14 +53,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+SPLIT_BYTES = 128 << 20
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give CPU-heavy row work at least one partition per core, three when it shuffles.
+    """Give CPU-heavy row work on a small input enough tasks for all cores.
 
-    Only an input with fewer partitions than cores (a few small files) is
-    shuffled; a large input already has enough splits and is left alone.
+    A few small files make fewer splits than there are cores, so an input
+    estimated below one split per core is repartitioned. A larger one has
+    enough splits and is never shuffled. Only the optimizer's size estimate is
+    read; nothing runs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(estimate)) >= cores * SPLIT_BYTES:
         return df
     return df.repartition(3 * cores, *keys)
 

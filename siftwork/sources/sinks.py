@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siftwork.operators.catalog import tool_contract, violations
 from siftwork.operators.messages import clean_messages, clean_tools
-from siftwork.operators.splitting import SALT, TRAIN_RATIO, split_fingerprint
+from siftwork.operators.splitting import SALT, TRAIN_RATIO, any_fingerprint
 
 
 def training_rows(examples: DataFrame) -> DataFrame:
@@ -30,15 +30,21 @@ def write_eval(items: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def write_split(
-    split: DataFrame, key: str, path: str, salt: str = SALT, ratio: float = TRAIN_RATIO
+    split: DataFrame,
+    key: str,
+    path: str,
+    salt: str = SALT,
+    ratio: float = TRAIN_RATIO,
+    max_flat_ids: int = 1_000_000,
 ) -> None:
     """Ids by side (readers prune by side) and one metadata row."""
     split.select(key, "split").write.partitionBy("split").parquet(f"{path}/ids")
-    mark = split_fingerprint(split.filter("split = 'train'"), key, salt)
+    mark = any_fingerprint(split.filter("split = 'train'"), key, salt, max_flat_ids)
     made = datetime.datetime.now(datetime.timezone.utc).isoformat()
     mark.select(
         F.lit(salt).alias("salt"),
         F.lit(ratio).alias("trainRatio"),
+        "kind",
         "fingerprint",
         F.lit(made).alias("generatedAt"),
     ).write.json(f"{path}/meta")
