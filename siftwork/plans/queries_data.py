@@ -300,9 +300,7 @@ def retry_prompts(spark, d):
 _KIND = "['singleTurn', 'multiTurn', 'parallelDep', 'refusal'][doc_id % 4 + 1]"
 
 
-@query(
-    "trajectory_plan",
-    f"""WITH {_TRAIN},
+_TRAJECTORY = f"""{_TRAIN},
     plan AS MATERIALIZED (SELECT doc_id AS idx, {_KIND} AS kind,
         {pick_sql('traj-v1', '8 * doc_id + 1', planning.PERSONA_IDS)} AS persona,
         {pick_sql('traj-v1', '8 * doc_id + 2', planning.DIFFICULTIES)} AS difficulty,
@@ -314,27 +312,101 @@ _KIND = "['singleTurn', 'multiTurn', 'parallelDep', 'refusal'][doc_id % 4 + 1]"
     t AS (SELECT idx, tools_n, unnest([{_TOOL_LIST}]) AS tool FROM plan),
     r AS (SELECT idx, tools_n, tool, row_number() OVER (PARTITION BY idx ORDER BY sha256('traj-v1:' || idx || ':' || tool)) AS n FROM t),
     picked AS (SELECT idx, string_agg(tool, ',' ORDER BY n) AS tools FROM r WHERE n <= tools_n GROUP BY 1),
-    {_ids('plan')}
-    SELECT plan.idx AS index, kind, persona, difficulty, start_ AS start, size_ AS size,
-        CASE kind WHEN 'singleTurn' THEN [{_TOOL_LIST}][plan.idx % 5 + 1] WHEN 'refusal' THEN '' ELSE picked.tools END AS tools,
-        dependency, chunk_ids
-    FROM plan JOIN got USING (idx) JOIN picked USING (idx)""",
+    {_ids('plan')},
+    named AS MATERIALIZED (SELECT plan.*, CASE kind WHEN 'singleTurn' THEN [{_TOOL_LIST}][plan.idx % 5 + 1] WHEN 'refusal' THEN '' ELSE picked.tools END AS tools
+        FROM plan JOIN picked USING (idx))"""
+
+
+@query(
+    "trajectory_plan",
+    f"""WITH {_TRAJECTORY}
+    SELECT idx AS index, kind, persona, difficulty, start_ AS start, size_ AS size, tools, dependency, chunk_ids FROM named JOIN got USING (idx)""",
 )
 def trajectory_plan(spark, d):
+    plan = _trajectory_plan(spark, d)
+    return plan.withColumn("tools", F.array_join("tools", ",")).withColumn("chunk_ids", F.array_join("chunk_ids", ","))
+
+
+def _trajectory_plan(spark, d):
     kinds = F.array(*[F.lit(k) for k in planning.TRAJECTORY_COUNTS])
     rows = documents(spark, d, "doc_id").select(
         F.col("doc_id").alias("index"), F.element_at(kinds, (F.col("doc_id") % 4 + 1).cast("int")).alias("kind")
     )
-    plan = planning.trajectory_plan(rows, _train_docs(spark, d), "doc_id", TOOLS)
-    return plan.withColumn("tools", F.array_join("tools", ",")).withColumn("chunk_ids", F.array_join("chunk_ids", ","))
+    return planning.trajectory_plan(rows, _train_docs(spark, d), "doc_id", TOOLS)
+
+
+def _filled_sql(template: str, **values: str) -> str:
+    """``template`` as SQL, with SQL expressions in its holes."""
+    parts, rest = [], template.replace("{product}", PRODUCT)
+    while rest:
+        hits = [(rest.find("{%s}" % n), n) for n in values if "{%s}" % n in rest]
+        if not hits:
+            parts.append(text_sql(rest))
+            break
+        at, name = min(hits)
+        parts += [text_sql(rest[:at]), values[name]]
+        rest = rest[at + len(name) + 2 :]
+    return "(" + " || ".join(parts) + ")"
+
+
+_SCHEMA = '{"type":"object","properties":{"k":{"type":"integer"}},"required":["k"]}'
+
+
+def _tools_sql(pattern: str, glue: str) -> str:
+    one = pattern.format(name="@", description="Record one @ event.", schema=_SCHEMA)
+    listed = f"list_transform(string_split(tools, ','), lambda t: replace({text_sql(one)}, '@', t))"
+    return f"array_to_string({listed}, {text_sql(glue)})"
+
+
+def _trajectory_prompt_sql() -> str:
+    summaries = _tools_sql(prompts.TOOL_SUMMARY, "\n\n")
+    explanation = _case("dependency", prompts.PARALLEL_EXPLANATION)
+    names = "'`' || replace(tools, ',', '` and `') || '`'"
+    system = {
+        "singleTurn": _filled_sql(
+            prompts.SINGLE_SYSTEM, name="tools", description="'Record one ' || tools || ' event.'", schema=text_sql(_SCHEMA)
+        ),
+        "multiTurn": _filled_sql(prompts.MULTI_SYSTEM, tools=summaries),
+        "parallelDep": _filled_sql(
+            prompts.PARALLEL_SYSTEM, tools=summaries, dependency="dependency", explanation=explanation
+        ),
+        "refusal": _filled_sql(prompts.REFUSAL_SYSTEM),
+    }
+    user = {
+        "singleTurn": _filled_sql(prompts.SINGLE_USER, name="tools", context="context"),
+        "multiTurn": _filled_sql(prompts.MULTI_USER, context="context"),
+        "parallelDep": _filled_sql(prompts.PARALLEL_USER, names=names, context="context", dependency="dependency"),
+        "refusal": _filled_sql(prompts.REFUSAL_USER, context="context"),
+    }
+    voice = _case("persona", {p[0]: p[2].replace("{product}", PRODUCT) for p in planning.PERSONAS})
+    suffix = _filled_sql(prompts.DRAW_SUFFIX, voice=voice, difficulty="difficulty")
+
+    def by_kind(texts: dict[str, str]) -> str:
+        return "CASE kind " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in texts.items()) + " END"
+
+    return f"""WITH {_TRAJECTORY} SELECT idx AS index, kind, md5({by_kind(system)}) AS system, md5({suffix}) AS suffix,
+    md5({by_kind(user)}) AS user FROM named JOIN got USING (idx)"""
+
+
+def _all_tool_specs() -> list[dict]:
+    parameters = {"type": "object", "properties": {"k": {"type": "integer"}}, "required": ["k"]}
+    return [
+        {"type": "function", "function": {"name": n, "description": f"Record one {n} event.", "parameters": parameters}}
+        for n in TOOLS
+    ]
+
+
+@query("trajectory_prompts", _trajectory_prompt_sql())
+def trajectory_prompts(spark, d):
+    plan = prompts.with_context(_trajectory_plan(spark, d), _train_docs(spark, d, "text"), "doc_id", "text")
+    made = prompts.trajectory_prompts(plan, _all_tool_specs(), PRODUCT)
+    return made.select("index", "kind", *[F.md5(c).alias(c) for c in ("system", "suffix", "user")])
 
 
 _EVAL_SHARES = {"factual": 4, "reasoning": 1, "single-turn-tool": 2, "multi-turn-tool": 1}
 
 
-@query(
-    "eval_plan",
-    f"""WITH {_EVAL}, total AS (SELECT count(*) // 8 AS u FROM documents),
+_EVAL_PLAN = f"""{_EVAL}, total AS (SELECT count(*) // 8 AS u FROM documents),
     rows_ AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents),
     k AS (SELECT idx, u, CASE WHEN idx < 4*u THEN 'factual' WHEN idx < 5*u THEN 'reasoning' WHEN idx < 7*u THEN 'single-turn-tool'
         WHEN idx < 8*u THEN 'multi-turn-tool' END AS kind,
@@ -344,18 +416,47 @@ _EVAL_SHARES = {"factual": 4, "reasoning": 1, "single-turn-tool": 2, "multi-turn
         CASE kind WHEN 'single-turn-tool' THEN [{_TOOL_LIST}][local % 5 + 1]
             WHEN 'multi-turn-tool' THEN [{_TOOL_LIST}][local % 5 + 1] || ',' || [{_TOOL_LIST}][(local + 1) % 5 + 1] ELSE '' END AS tools
         FROM k, size WHERE kind IS NOT NULL),
-    {_ids('plan')}
+    {_ids('plan')}"""
+
+
+@query(
+    "eval_plan",
+    f"""WITH {_EVAL_PLAN}
     SELECT plan.idx AS index, 'eval-' || kind || '-' || plan.idx AS item_id, kind, start_ AS start, size_ AS size, tools, chunk_ids
     FROM plan JOIN got USING (idx)""",
 )
 def eval_plan(spark, d):
+    plan = _eval_plan(spark, d)
+    return plan.withColumn("tools", F.array_join("tools", ",")).withColumn("chunk_ids", F.array_join("chunk_ids", ","))
+
+
+def _eval_docs(spark, d, *columns):
+    return splitting.with_split(documents(spark, d, "doc_id", *columns), "doc_id").filter("split = 'eval'")
+
+
+def _eval_plan(spark, d):
     docs = documents(spark, d, "doc_id")
     unit = docs.count() // 8
     rows = ordering.dense_ordinal(docs, "doc_id", out="index").select("index")
-    held = splitting.with_split(docs, "doc_id").filter("split = 'eval'")
     counts = {k: s * unit for k, s in _EVAL_SHARES.items()}
-    plan = planning.eval_plan(rows, held, "doc_id", TOOLS, counts)
-    return plan.withColumn("tools", F.array_join("tools", ",")).withColumn("chunk_ids", F.array_join("chunk_ids", ","))
+    return planning.eval_plan(rows, _eval_docs(spark, d), "doc_id", TOOLS, counts)
+
+
+_EVAL_SYSTEMS = "CASE kind " + " ".join(
+    f"WHEN '{k}' THEN {_filled_sql(t, tools=_tools_sql(prompts.TOOL_EVAL_LINE, chr(10)))}"
+    for k, t in prompts.EVAL_SYSTEM.items()
+) + " END"
+
+
+@query(
+    "eval_prompts",
+    f"""WITH {_EVAL_PLAN} SELECT plan.idx AS index, 'eval-' || kind || '-' || plan.idx AS item_id, kind,
+    md5({_EVAL_SYSTEMS}) AS system, md5(context) AS user FROM plan JOIN got USING (idx)""",
+)
+def eval_prompts(spark, d):
+    plan = prompts.with_context(_eval_plan(spark, d), _eval_docs(spark, d, "text"), "doc_id", "text")
+    made = prompts.eval_prompts(plan, _all_tool_specs())
+    return made.withColumn("system", F.md5("system")).withColumn("user", F.md5("user"))
 
 
 _TYPES = list(planning.BOUNDARY) + ["date"]
