@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwork.session import checkpoint_dir, cut, spread
+from siftwork.operators.ordering import dense_ordinal
+from siftwork.session import checkpoint_dir, cut
 
 BLOCK_BYTES = 64 << 20
 _ROWS = 2048  # rows per matrix product
@@ -36,28 +37,50 @@ def _unit(batch: pa.RecordBatch | pa.Table, width: int, name: str = "v") -> np.n
 
 
 def _greedy(units: np.ndarray, threshold: float) -> np.ndarray:
-    """Indexes kept when rows are taken in order."""
-    kept: list[int] = []
-    taken = np.zeros(len(units), dtype=bool)
-    for i in range(len(units)):
-        if taken[i]:
-            continue
-        kept.append(i)
-        taken[i + 1 :] |= units[i + 1 :] @ units[i] >= threshold
-    return np.asarray(kept, dtype=np.int64)
-
-
-def _narrow(rows: DataFrame, order: str, vector: str) -> tuple[DataFrame, int]:
+    """Indexes kept when rows are taken in order.
+
+    A strip of rows is resolved one by one, then its survivors meet all later
+    rows in one matrix product.
+    """
+    free = np.ones(len(units), dtype=bool)
+    for start in range(0, len(units), _ROWS):
+        strip = start + np.flatnonzero(free[start : start + _ROWS])
+        close = units[strip] @ units[strip].T >= threshold
+        for i, row in enumerate(strip):
+            if free[row]:
+                free[strip[i + 1 :][close[i, i + 1 :]]] = False
+        leaders = units[strip[free[strip]]].T
+        for later in range(start + _ROWS, len(units), _ROWS):
+            part = slice(later, later + _ROWS)
+            if leaders.size:
+                free[part] &= (units[part] @ leaders).max(axis=1) < threshold
+    return np.flatnonzero(free)
+
+
+def _in_blocks(
+    rows: DataFrame, order: str, vector: str, block_rows: int | None
+) -> tuple[DataFrame, int, int]:
+    """``(ord, v, block)`` stored once, the vector width, and the rows per block.
+
+    Blocks are runs of consecutive rows that fit BLOCK_BYTES.
+    """
     narrow = rows.select(
         F.col(order).cast("bigint").alias("ord"), F.col(vector).cast("array<double>").alias("v")
     )
     width = narrow.select(F.max(F.size("v"))).first()[0] or 0
-    return narrow, width
+    size = block_rows or max(1, BLOCK_BYTES // (8 * max(1, width)))
+    placed = dense_ordinal(narrow, "ord", out="_i")
+    return cut(placed.select("ord", "v", F.floor(F.col("_i") / size).alias("block"))), width, size
 
 
-def _block(rows: DataFrame, size: int) -> pa.Table:
-    """The first ``size`` rows in order; bounded by BLOCK_BYTES."""
-    return rows.orderBy("ord").limit(size).toArrow()
+def _last_block_to_take(left: DataFrame, size: int) -> int | None:
+    """As many next blocks as hold ``size`` rows together; rows that left made room."""
+    last, rows = None, 0
+    for block, n in sorted(map(tuple, left.groupBy("block").count().collect())):
+        if last is not None and rows + n > size:
+            break
+        last, rows = block, rows + n
+    return last
 
 
 def drop_similar_vectors(
@@ -69,24 +92,16 @@ def drop_similar_vectors(
     vectors of different lengths are an error.
     """
     spark = rows.sparkSession
-    left, width = _narrow(rows, order, vector)
-    if width == 0:
-        return rows
-    size = block_rows or max(1, BLOCK_BYTES // (8 * width))
-    left = cut(spread(left, "ord"))
+    left, width, size = _in_blocks(rows, order, vector, block_rows)
     kept_at = f"{checkpoint_dir(spark)}/kept-{uuid.uuid4().hex}"
-    while True:
-        block = _block(left, size)
-        if block.num_rows == 0:
-            break
+    spark.createDataFrame([], "ord bigint").write.parquet(kept_at)
+    while (last := _last_block_to_take(left, size)) is not None:
+        block = left.filter(F.col("block") <= last).toArrow().sort_by("ord")
         units = _unit(block, width)
         kept = _greedy(units, threshold)
-        ords = block["ord"].to_numpy()
-        spark.createDataFrame(pa.table({"ord": ords[kept]})).write.mode("append").parquet(kept_at)
-        if block.num_rows < size:
-            break
+        ords = block["ord"].to_numpy()[kept]
+        spark.createDataFrame(pa.table({"ord": ords})).write.mode("append").parquet(kept_at)
         sent = spark.sparkContext.broadcast(units[kept])
-        last = int(ords[-1])
 
         def survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             leaders = sent.value.T
@@ -96,19 +111,12 @@ def drop_similar_vectors(
                     best = (_unit(part, width) @ leaders).max(axis=1)
                     yield part.filter(pa.array(best < threshold))
 
-        left = cut(left.filter(F.col("ord") > last).mapInArrow(survivors, left.schema))
+        left = cut(left.filter(F.col("block") > last).mapInArrow(survivors, left.schema))
         sent.unpersist()
-    if block.num_rows == 0 and not _written(spark, kept_at):
-        return rows.limit(0)
     stays = spark.read.schema("ord bigint").parquet(kept_at)
     return rows.join(stays, rows[order].cast("bigint") == stays["ord"], "left_semi")
 
 
-def _written(spark, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def similar_vectors(
     rows: DataFrame, order: str, vector: str, threshold: float = 0.92, block_rows: int | None = None
 ) -> DataFrame:
@@ -118,20 +126,15 @@ def similar_vectors(
     pairs are written. The result has as many rows as there are similar pairs.
     """
     spark = rows.sparkSession
-    everything, width = _narrow(rows, order, vector)
+    everything, width, _ = _in_blocks(rows, order, vector, block_rows)
     schema = "src bigint, dst bigint, cosine double"
-    if width == 0:
-        return spark.createDataFrame([], schema)
-    size = block_rows or max(1, BLOCK_BYTES // (8 * width))
-    left = cut(spread(everything, "ord"))
     found_at = f"{checkpoint_dir(spark)}/pairs-{uuid.uuid4().hex}"
-    first = None
-    while True:
-        block = _block(left if first is None else left.filter(F.col("ord") > first), size)
+    spark.createDataFrame([], schema).write.parquet(found_at)
+    for number in range((everything.agg(F.max("block")).first()[0] or 0) + 1):
+        block = everything.filter(F.col("block") == number).toArrow().sort_by("ord")
         if block.num_rows == 0:
             break
-        ords = block["ord"].to_numpy()
-        sent = spark.sparkContext.broadcast((ords, _unit(block, width)))
+        sent = spark.sparkContext.broadcast((block["ord"].to_numpy(), _unit(block, width)))
 
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             heads, units = sent.value
@@ -147,9 +150,7 @@ def similar_vectors(
                         names=["src", "dst", "cosine"],
                     )
 
-        later = left.filter(F.col("ord") > int(ords[0]))
+        later = everything.filter(F.col("block") >= number)
         later.mapInArrow(meet, schema).write.mode("append").parquet(found_at)
-        first = int(ords[-1])
-    if first is None:
-        return spark.createDataFrame([], schema)
+        sent.unpersist()
     return spark.read.schema(schema).parquet(found_at)

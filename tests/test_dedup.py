@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftwork.functions.minhash import signature_column, with_signature
-from siftwork.operators import dedup
+from siftwork.operators import dedup, vectors
 from siftwork.operators.dedup import Plan, compare_rows, drop_near_duplicates, duplicate_matches
 from siftwork.operators.vectors import drop_similar_vectors, similar_vectors
 
@@ -174,20 +174,32 @@ def _cosine(a, b):
 def test_vectors_match_brute_force(spark, block):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(6, 16))
-    vectors = [centres[i % 6] + 0.3 * rng.normal(size=16) for i in range(60)] + [np.zeros(16)] * 2
-    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, v array<double>")
+    items = [centres[i % 6] + 0.3 * rng.normal(size=16) for i in range(60)] + [np.zeros(16)] * 2
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(items)], "id bigint, v array<double>")
     kept = []
-    for i, v in enumerate(vectors):
-        if not any(_cosine(v, vectors[k]) >= 0.92 for k in kept):
+    for i, v in enumerate(items):
+        if not any(_cosine(v, items[k]) >= 0.92 for k in kept):
             kept.append(i)
     got = drop_similar_vectors(rows.repartition(3), "id", "v", 0.92, block).collect()
     assert sorted(r["id"] for r in got) == kept
     pairs = {(r["src"], r["dst"]) for r in similar_vectors(rows, "id", "v", 0.9, block).collect()}
     assert pairs == {
-        (i, j) for i in range(62) for j in range(i + 1, 62) if _cosine(vectors[i], vectors[j]) >= 0.9
+        (i, j) for i in range(62) for j in range(i + 1, 62) if _cosine(items[i], items[j]) >= 0.9
     }
 
 
+def test_greedy_strips(monkeypatch):
+    monkeypatch.setattr(vectors, "_ROWS", 5)
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(83, 3))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    kept = []
+    for i in range(83):
+        if not any(rows[i] @ rows[k] >= 0.9 for k in kept):
+            kept.append(i)
+    assert vectors._greedy(rows, 0.9).tolist() == kept
+
+
 def test_small_vectors(spark):
     rows = spark.createDataFrame(
         [(0, [1.0, 0.0, 0.0]), (1, [0.999, 0.001, 0.0]), (2, [0.0, 1.0, 0.0])], "id bigint, v array<double>"
