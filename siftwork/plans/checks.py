@@ -53,8 +53,11 @@ def signature_sql(table: str, key: str, text: str) -> str:
     return f"""words AS (SELECT {key} AS ord, {words_sql(text)} AS w FROM {table}),
 grams AS (SELECT ord, CASE WHEN len(w) < 3 THEN []::VARCHAR[] ELSE list_distinct(
     list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM words),
-sig AS (SELECT ord, list_transform(range(0, 128), lambda h: coalesce(list_min(
-    list_transform(g, lambda x: substr(md5(h || ':' || x), 1, 8))), 'ffffffff')) AS s FROM grams)"""
+seeds AS (SELECT unnest(range(0, 128)) AS h),
+lows AS (SELECT ord, h, min(substr(md5(h || ':' || x), 1, 8)) AS low
+    FROM (SELECT ord, unnest(g) AS x FROM grams), seeds GROUP BY 1, 2),
+sig AS MATERIALIZED (SELECT ord, list(coalesce(low, 'ffffffff') ORDER BY h) AS s
+    FROM (SELECT ord, h FROM grams, seeds) LEFT JOIN lows USING (ord, h) GROUP BY 1)"""
 
 
 def greedy_sql(table: str, key: str, text: str, need: int = 90) -> str:
