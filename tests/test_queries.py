@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from siftwork.plans.registry import CHECKS, QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 FOLDER = "/root/testdata/sf0.001"
@@ -40,10 +41,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_a_check():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, checks, name):
     frame = entry.queries()[name](spark, FOLDER)
     expected = checks.sql(entry.oracle_sql()[name])
