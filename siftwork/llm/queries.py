@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import bpe, packing, quality
+from siftwork.llm import bpe, packing, quality, toxicity, urls
 from siftwork.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,33 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     trees = quality.fit(documents, read(spark, folder, "labels"))
     judged = quality.with_verdict(quality.with_statistics(documents), trees)
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "score")
+
+
+# Fixed values of the contract: rules over host and path.
+URL_RULES = {
+    "org/": "allow",
+    "com/fr/": "allow",
+    "example.org/es/": "block",
+    "example.org/en/1": "block",
+    "com/de/": "block",
+}
+
+
+@query
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages").select("page_id", "url")
+    return urls.filtered(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "difference")
+
+
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    machine = toxicity.fit(documents, read(spark, folder, "labels").filter(~held_out))
+    scored = toxicity.with_score(documents, machine)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
