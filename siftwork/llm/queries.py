@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import bpe, packing, quality, toxicity, urls
+from siftwork.llm import bpe, packing, quality, sharding, toxicity, urls
 from siftwork.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,17 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    sharded = sharding.shard_texts(read(spark, folder, "documents"), 24)
+    return sharded.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
