@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import bpe, packing, quality, sharding, toxicity, urls
+from siftwork.llm import bpe, packing, quality, sharding, spots, toxicity, urls
 from siftwork.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,17 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    near = spots.edited_likeness(read(spark, folder, "documents"))
+    return near.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        spots.as_text(F.col("marks")).alias("fingerprint"),
+        spots.as_text(F.col("edited_marks")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
