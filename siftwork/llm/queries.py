@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import bpe, packing, quality, repeats, sharding, spots, toxicity, urls
+from siftwork.llm import bpe, neardup, packing, quality, repeats, sharding, spots, toxicity, urls
 from siftwork.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,8 @@ def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op7_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents")
     return repeats.without_repeats(documents, out="kept_sha256", finish=repeats.kept_digest)
+
+
+@query
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_components(read(spark, folder, "documents"))
