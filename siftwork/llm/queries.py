@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import bpe, neardup, packing, quality, repeats, sharding, spots, toxicity, urls
+from siftwork.llm import bpe, neardup, packing, quality, repeats, secrets, sharding, spots, toxicity, urls
 from siftwork.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,10 @@ def op7_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_components(read(spark, folder, "documents"))
+
+
+@query
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    words = secrets.dictionary(read(spark, folder, "conversations").select("text"))
+    found = secrets.scan(read(spark, folder, "documents").select("doc_id", "text"), words)
+    return found.select("doc_id", "value", "uses", *secrets.FEATURES, "score", "is_secret")
