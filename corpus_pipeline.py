@@ -1,23 +1,72 @@
-"""The corpus pipeline: documents through five stages, each stored and read again."""
+"""The corpus pipeline: documents through five stages, each stored and read again.
+
+Stages keep the columns of ``documents`` (a changed text changes ``n_chars``
+with it); the last returns where each token piece is packed. Every stage works
+on all rows its predecessor kept, whole texts, and takes nulls, empty tables and
+repeated rows as its operator says. Names that begin with an underscore are taken.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siftwork.llm import quality
+from siftwork.llm import neardup, packing, quality, repeats, secrets
 from siftwork.llm.common import Scratch, read
 
+ORACLE_SQL = None  # trees, sketches and forests have no SQL form; see the tests
+
+
+def _with_text(docs: DataFrame, found: DataFrame, text: str) -> DataFrame:
+    """``docs`` with the text of ``found``, one row per key there."""
+    changed = found.withColumn("_text", F.col(text)).withColumn("n_chars", F.length("_text").cast("long"))
+    return changed.select(*[F.col("_text").alias(c) if c == "text" else F.col(c) for c in docs.columns])
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the trees pass."""
     trees = quality.fit(docs, read(spark, sf_dir, "labels"))
-    return docs
+    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_text"))
+    judged = quality.with_verdict(quality.with_statistics(whole, "_text", "_features"), trees, "_features")
+    return judged.filter("kept").select("_row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest id of each near-duplicate group."""
+    return neardup.without_near_duplicates(docs)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the long strings that occur anywhere else."""
+    found = repeats.without_repeats(docs)
+    changed = found.filter("n_removed > 0").groupBy(F.col("doc_id").alias("_key")).agg(F.min("kept").alias("_kept"))
+    met = docs.join(changed, F.col("doc_id").eqNullSafe(F.col("_key")), "left")
+    return _with_text(docs, met.withColumn("_kept", F.coalesce("_kept", "text")), "_kept")
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with its secrets masked."""
+    words = secrets.dictionary(read(spark, sf_dir, "conversations").select("text"))
+    return _with_text(docs, secrets.redacted(docs, secrets.scan(docs, words)), "text")
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequence and offset of every token piece."""
+    return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("quality rules", quality_rules)]
-ORACLE_SQL = None
+STAGES = [
+    ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_duplicates),
+    ("suffix-array dedup", repeated_strings),
+    ("secret scans", secret_scan),
+    ("best-fit packing", best_fit_packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole of ``documents``."""
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = Scratch(spark).store(stage(spark, docs, sf_dir), keep=True)
