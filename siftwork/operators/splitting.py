@@ -37,7 +37,7 @@ def split_fingerprint(
     """sha256 over the salt and all sorted train ids joined by commas.
 
     One hash over one ordered text has to be built in one place, so the number
-    of ids is checked first. Larger splits use :func:`tree_fingerprint`.
+    of ids is checked first. Stored splits use :func:`tree_fingerprint`, always.
     """
     if train_ids.select(key).limit(max_ids + 1).count() > max_ids:
         raise ValueError(f"more than {max_ids} ids: use tree_fingerprint")
@@ -65,16 +65,6 @@ def tree_fingerprint(
     return nodes.select(F.col("digest").alias("fingerprint"))
 
 
-def any_fingerprint(
-    train_ids: DataFrame, key: str, salt: str = SALT, max_ids: int = 1_000_000
-) -> DataFrame:
-    """``(kind, fingerprint)``: flat up to ``max_ids`` ids, tree beyond."""
-    if train_ids.select(key).limit(max_ids + 1).count() > max_ids:
-        return tree_fingerprint(train_ids, key, salt).select(F.lit("tree").alias("kind"), "fingerprint")
-    flat = split_fingerprint(train_ids, key, salt, max_ids)
-    return flat.select(F.lit("flat").alias("kind"), "fingerprint")
-
-
 def split_faults(ids: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
     """Ids that the manifest misses, adds, or lists on other than exactly one side."""
     sides = manifest.groupBy(key).agg(

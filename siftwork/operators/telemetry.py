@@ -2,11 +2,14 @@
 
 A run is an ordered sequence, yet no operator here gathers a run in one task.
 Points get a dense position within their run, are cut into blocks of ``BLOCK``
-points that repeat the few points before them, and each block is judged alone:
+points, and each block is judged alone:
 
-* reward variance needs the nine rewards before, bad-loss streaks one loss;
-* the smoothed loss forgets: after ``WARMUP_POINTS`` steps the weight of the
-  older history is below 1e-45, less than a double can show.
+* reward variance needs the nine rewards before, bad-loss streaks one loss, so
+  a block repeats the few points before it;
+* the smoothed loss is affine in the level it starts from, so a block is summed
+  up in one row, the rows of a run are folded, and every block is replayed from
+  its true level, beginning ``REPLAY`` points early so that the last bits of the
+  fold fade.
 
 A supervisor signal restarts its run, and a run has at most ``max_rollbacks``
 restarts, so all first signals, then all second ones, and so on are found by
@@ -17,9 +20,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
-import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +31,7 @@ from siftwork.operators.ordering import running_counts
 from siftwork.session import broadcast_if_small, cut
 
 BLOCK = 8192
-WARMUP_POINTS = 1000
+REPLAY = 1024
 
 # The log line shapes, tried in this order, and the skip marker.
 NUMBER = r"[\d.]+"
@@ -131,10 +135,11 @@ def placed_points(points: DataFrame) -> DataFrame:
 
 def _blocks(placed: DataFrame, overlap: int) -> DataFrame:
     """Add ``block`` and ``lead_in``; the last ``overlap`` points open the next block too."""
-    block = F.floor(F.col("at") / BLOCK)
+    size = max(BLOCK, 4 * overlap)
+    block = F.floor(F.col("at") / size)
     own = F.struct(block.alias("block"), F.lit(False).alias("lead_in"))
     next_one = F.struct((block + 1).alias("block"), F.lit(True).alias("lead_in"))
-    copies = F.when(F.col("at") % BLOCK >= BLOCK - overlap, F.array(own, next_one)).otherwise(
+    copies = F.when(F.col("at") % size >= size - overlap, F.array(own, next_one)).otherwise(
         F.array(own)
     )
     return placed.withColumn("_copy", F.explode(copies)).select("*", "_copy.*").drop("_copy")
@@ -184,28 +189,57 @@ def smoothed_losses(placed: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """
     good = placed.filter("loss is not null").filter(~is_bad(F.col("loss")))
     good = good.select("run_id", "seq", "iter", "loss", F.col("at_good").alias("at"))
-    blocks = _blocks(good, WARMUP_POINTS)
     keep, take = limits.keep, limits.take
+    starts = _block_starts(good, keep, take).withColumnsRenamed({"run_id": "_run", "block": "_block"})
+    met = _blocks(good, REPLAY).join(
+        broadcast_if_small(starts), (F.col("run_id") == F.col("_run")) & (F.col("block") == F.col("_block")), "left"
+    ).drop("_run", "_block")
 
     def fold(table: pa.Table) -> pa.Table:
         table = table.sort_by("at")
-        before: list[float | None] = []
-        after: list[float] = []
-        level: float | None = None
-        for loss in table["loss"].to_pylist():
-            before.append(level)
-            level = loss if level is None else keep * level + take * loss
-            after.append(level)
+        start = table["start"][0].as_py()
+        step = lambda level, loss: keep * level + take * loss
+        losses = table["loss"].to_pylist()
+        after = list(accumulate(losses, step, initial=start)) if start is not None else [None, *accumulate(losses, step)]
         out = table.select(["run_id", "seq", "iter", "loss"])
-        out = out.append_column("before", pa.array(before, pa.float64()))
-        out = out.append_column("after", pa.array(after, pa.float64()))
-        return out.filter(pa.array(~np.asarray(table["lead_in"].to_numpy(zero_copy_only=False), bool)))
+        out = out.append_column("before", pa.array(after[:-1], pa.float64()))
+        out = out.append_column("after", pa.array(after[1:], pa.float64()))
+        return out.filter(pc.invert(table["lead_in"].combine_chunks()))
 
     run_type = placed.schema["run_id"].dataType.simpleString()
     schema = (
         f"run_id {run_type}, seq bigint, iter bigint, loss double, before double, after double"
     )
-    return blocks.groupBy("run_id", "block").applyInArrow(fold, schema)
+    return met.groupBy("run_id", "block").applyInArrow(fold, schema)
+
+
+def _block_starts(good: DataFrame, keep: float, take: float) -> DataFrame:
+    """Level ``REPLAY`` points before every block but a run's first: ``(run_id, block, start)``.
+
+    ``own`` is what the ``BLOCK`` points from there on add to ``keep ** BLOCK``
+    times that level. The first loss of a run counts in full, so its block is
+    corrected. One row per ``BLOCK`` points is folded for a run.
+    """
+    shifted = F.col("at") + REPLAY
+    weight = F.pow(F.lit(keep), BLOCK - 1 - shifted % BLOCK)
+    sums = good.groupBy("run_id", F.floor(shifted / BLOCK).alias("block")).agg(
+        (take * F.sum(F.col("loss") * weight)).alias("own"),
+        F.min("at").alias("at"),
+        F.min_by("loss", "at").alias("first"),
+    )
+    faded = keep**BLOCK
+
+    def fold(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")
+        level, starts = None, []
+        for own, at, first in zip(*(table[c].to_pylist() for c in ("own", "at", "first"))):
+            starts.append(level)
+            seeded = (1 - take) * keep ** (BLOCK - 1 - (at + REPLAY) % BLOCK) * first
+            level = own + (seeded if level is None else faded * level)
+        return table.select(["run_id", "block"]).append_column("start", pa.array(starts, pa.float64()))
+
+    run_type = good.schema["run_id"].dataType.simpleString()
+    return sums.groupBy("run_id").applyInArrow(fold, f"run_id {run_type}, block bigint, start double")
 
 
 def _spikes(placed: DataFrame, limits: Limits) -> DataFrame:

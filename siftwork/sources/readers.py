@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siftwork.functions.text import trim_all
 from siftwork.operators.catalog import TooFewTools, threshold_branch
 from siftwork.operators.ordering import dense_ordinal
-from siftwork.operators.splitting import split_fingerprint, tree_fingerprint
+from siftwork.operators.splitting import tree_fingerprint
 from siftwork.schemas import EVAL_ITEM, MESSAGES, TOOL
 
 _CACHED = (
@@ -140,8 +140,7 @@ def read_split(spark: SparkSession, path: str, key: str, verify: bool = True) ->
     if verify:
         meta = spark.read.json(f"{path}/meta").first()
         train = stored.filter("split = 'train'")
-        mark = tree_fingerprint if meta["kind"] == "tree" else split_fingerprint
-        found = mark(train, key, meta["salt"]).first()["fingerprint"]
+        found = tree_fingerprint(train, key, meta["salt"]).first()["fingerprint"]
         if found != meta["fingerprint"]:
             raise ValueError("split fingerprint does not match its ids")
     return stored

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siftwork.operators.catalog import tool_contract, violations
 from siftwork.operators.messages import clean_messages, clean_tools
-from siftwork.operators.splitting import SALT, TRAIN_RATIO, any_fingerprint
+from siftwork.operators.splitting import SALT, TRAIN_RATIO, tree_fingerprint
 
 
 def training_rows(examples: DataFrame) -> DataFrame:
@@ -35,16 +35,14 @@ def write_split(
     path: str,
     salt: str = SALT,
     ratio: float = TRAIN_RATIO,
-    max_flat_ids: int = 1_000_000,
 ) -> None:
     """Ids by side (readers prune by side) and one metadata row."""
     split.select(key, "split").write.partitionBy("split").parquet(f"{path}/ids")
-    mark = any_fingerprint(split.filter("split = 'train'"), key, salt, max_flat_ids)
+    mark = tree_fingerprint(split.filter("split = 'train'"), key, salt)
     made = datetime.datetime.now(datetime.timezone.utc).isoformat()
     mark.select(
         F.lit(salt).alias("salt"),
         F.lit(ratio).alias("trainRatio"),
-        "kind",
         "fingerprint",
         F.lit(made).alias("generatedAt"),
     ).write.json(f"{path}/meta")
@@ -93,24 +91,22 @@ def write_manifest(
     ).write.json(f"{path}/meta")
 
 
-def start_checkpoint_stream(examples: DataFrame, path: str, checkpoint: str, every: int = 25):
+def start_checkpoint_stream(examples: DataFrame, path: str, checkpoint: str):
     """Append finished examples as they arrive, with their meta in the same row.
 
     The sink's commit log replaces buffering: a batch is visible as a whole or
-    not at all, and a restart goes on after the last one. ``every`` bounds the
-    records per written file.
+    not at all, and a restart goes on after the last one.
     """
     return (
         examples.writeStream.format("json")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", every)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def append_checkpoint(examples: DataFrame, path: str, every: int = 25, start: bool = False) -> None:
+def append_checkpoint(examples: DataFrame, path: str, start: bool = False) -> None:
     """Batch form: append a finished block; ``start`` begins anew."""
     mode = "overwrite" if start else "append"
-    examples.write.mode(mode).option("maxRecordsPerFile", every).json(path)
+    examples.write.mode(mode).json(path)

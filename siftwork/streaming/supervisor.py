@@ -72,19 +72,28 @@ def _none_if_missing(value) -> float | None:
 
 
 class Supervisor(StatefulProcessor):
-    """Applies :func:`advance` to the points of each run in ``seq`` order."""
+    """Applies :func:`advance` to the points of each run in ``seq`` order.
+
+    A point that arrives after a later one was applied fails the stream: bound
+    the files per trigger, but deliver a run's parts in order.
+    """
 
     def __init__(self, limits: Limits = Limits()):
         self.limits = limits
 
     def init(self, handle) -> None:
         self.store = handle.getValueState("run", _STATE)
+        self.order = handle.getValueState("order", "last BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         state = self.store.get() if self.store.exists() else FRESH
         state = (state[0], state[1], state[2], list(state[3] or []), state[4])
         found = []
         batch = pd.concat(list(rows)).sort_values("seq")
+        last = self.order.get()[0] if self.order.exists() else None
+        if last is not None and int(batch["seq"].iloc[0]) <= last:
+            raise ValueError(f"run {key[0]}: seq {batch['seq'].iloc[0]} comes after {last} was applied")
+        self.order.update((int(batch["seq"].iloc[-1]),))
         columns = zip(
             batch["seq"], batch["iter"], batch["loss"], batch["has_loss"],
             batch["reward"], batch["has_reward"], batch["skipped"],

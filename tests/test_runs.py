@@ -198,3 +198,44 @@ def test_progress_and_stages(spark):
     want = [("s", "ok", "done"), ("t", "err", "bad")]
     assert sorted(map(tuple, telemetry.stage_status(events).collect())) == want
     assert sorted(map(tuple, stage_stream(events).collect())) == want
+
+
+def _sequential(losses, keep, take):
+    levels, level = [], None
+    for loss in losses:
+        level = loss if level is None else keep * level + take * loss
+        levels.append(level)
+    return levels
+
+
+@pytest.mark.parametrize("keep", [0.9, 0.999, 0.5])
+def test_smoothed_loss_remembers_across_blocks(spark, keep):
+    limits = telemetry.Limits(keep=keep, take=1 - keep)
+    losses = [100.0] * 7192 + [1.0] * 13000
+    losses[7190] = 1e60 if keep == 0.9 else 100.0
+    points = spark.createDataFrame([("r", i, i, x, None) for i, x in enumerate(losses)], "run_id string, seq bigint, iter bigint, loss double, reward double")
+    rows = telemetry.smoothed_losses(telemetry.placed_points(points), limits).orderBy("seq").collect()
+    expected = _sequential(losses, keep, 1 - keep)
+    assert [r["after"] for r in rows] == pytest.approx(expected, rel=1e-9)
+    assert [r["before"] for r in rows[1:]] == pytest.approx(expected[:-1], rel=1e-9)
+    assert rows[0]["before"] is None
+
+
+def test_smoothed_loss_starts_anew_inside_a_block(spark):
+    losses = [float(i % 7 + 1) for i in range(20000)]
+    points = spark.createDataFrame([("r", i, i, x, None) for i, x in enumerate(losses)], "run_id string, seq bigint, iter bigint, loss double, reward double")
+    later = telemetry.placed_points(points).filter("seq > 5000")
+    rows = telemetry.smoothed_losses(later).orderBy("seq").collect()
+    assert [r["after"] for r in rows] == pytest.approx(_sequential(losses[5001:], 0.9, 0.1), rel=1e-9)
+
+
+def test_windows_longer_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(telemetry, "BLOCK", 8)
+    limits = telemetry.Limits(window=30, bad_streak=20)
+    points = spark.createDataFrame(
+        [("r", i, i, float("nan") if 40 <= i < 65 else 1.0, float(i)) for i in range(100)],
+        "run_id string, seq bigint, iter bigint, loss double, reward double",
+    )
+    placed = telemetry.placed_points(points)
+    assert telemetry.reward_variance(placed, limits).count() == 71
+    assert sorted(r["seq"] for r in telemetry.bad_losses(placed, limits).collect()) == list(range(59, 65))
