@@ -33,7 +33,14 @@ OFFLINE_ERROR = "This tool requires network. Device is offline."
 SCHEMA_TYPES = ["string", "number", "integer", "boolean", "object", "array", "null"]
 SCHEMA_KEYWORDS = ["type", "properties", "required", "enum", "items", "additionalProperties", "description"]
 
-MAX_COMPILED_TOOLS = 200
+# Keywords the call gate checks, and those that check nothing.
+GATE_KEYWORDS = [
+    "type", "properties", "required", "enum", "const", "items", "additionalProperties",
+    "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength", "pattern", "minItems", "maxItems",
+]
+ANNOTATIONS = ["description", "title", "default", "examples", "$schema", "$id", "$comment", "readOnly", "writeOnly", "deprecated"]
+
+SCHEMAS_PER_SCAN = 40  # distinct schemas compiled into one expression; more take more scans
 
 
 # --- schema gate ------------------------------------------------------------
@@ -43,17 +50,62 @@ def _path(key: str) -> str:
     return '$["' + key + '"]'
 
 
-def _type_fault(value: Column, wanted: str, at: Column) -> Column:
-    kind = variant_type(value)
-    if wanted == "integer":
-        number = F.try_variant_get(value, "$", "double")
-        good = (kind == "number") & (number == F.floor(number))
-    else:
-        good = kind == wanted
-    fault = F.concat(at, F.lit(f" must be {wanted}"))
+def check_schema(schema: dict, at: str = "") -> None:
+    """Refuse a schema with a keyword or form the gate would have to ignore."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"schema{at}: {schema!r} is not an object")
+    unknown = sorted(set(schema) - {*GATE_KEYWORDS, *ANNOTATIONS})
+    if unknown:
+        raise ValueError(f"schema{at}: keywords that cannot be checked: {', '.join(unknown)}")
+    types = schema.get("type", [])
+    if set([types] if isinstance(types, str) else types) - set(SCHEMA_TYPES):
+        raise ValueError(f"schema{at}: unknown type {types!r}")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        raise ValueError(f"schema{at}: additionalProperties can only be true or false")
+    for key, inner in schema.get("properties", {}).items():
+        check_schema(inner, f"{at}/{key}")
+    if "items" in schema:
+        check_schema(schema["items"], f"{at}/items")
+
+
+def _type_fault(value: Column, wanted: str | list[str], at: Column) -> Column:
+    kind, number = variant_type(value), F.try_variant_get(value, "$", "double")
+    options = [wanted] if isinstance(wanted, str) else wanted
+    good = F.lit(False)
+    for option in options:
+        if option == "integer":
+            good = good | ((kind == "number") & (number == F.floor(number)))
+        else:
+            good = good | (kind == option)
+    fault = F.concat(at, F.lit(f" must be {','.join(options)}"))
     return F.when(~good, F.array(fault)).otherwise(F.array().cast("array<string>"))
 
 
+def _limit_faults(schema: dict, value: Column, at: Column) -> list[Column]:
+    """Faults against limits of numbers, texts and arrays; other kinds pass."""
+    none = F.array().cast("array<string>")
+    number, text = F.try_variant_get(value, "$", "double"), F.try_variant_get(value, "$", "string")
+    size = F.size(F.try_variant_get(value, "$", "array<variant>"))
+    tests = {
+        "minimum": ("number", lambda n: number >= n, "must be >= {}"),
+        "maximum": ("number", lambda n: number <= n, "must be <= {}"),
+        "exclusiveMinimum": ("number", lambda n: number > n, "must be > {}"),
+        "exclusiveMaximum": ("number", lambda n: number < n, "must be < {}"),
+        "minLength": ("string", lambda n: F.length(text) >= n, "must NOT have fewer than {} characters"),
+        "maxLength": ("string", lambda n: F.length(text) <= n, "must NOT have more than {} characters"),
+        "pattern": ("string", lambda n: text.rlike(n), 'must match pattern "{}"'),
+        "minItems": ("array", lambda n: size >= n, "must NOT have fewer than {} items"),
+        "maxItems": ("array", lambda n: size <= n, "must NOT have more than {} items"),
+    }
+    found = []
+    for keyword, (kind, test, message) in tests.items():
+        if keyword in schema:
+            bad = (variant_type(value) == kind) & ~test(schema[keyword])
+            fault = F.concat(at, F.lit(" " + message.format(schema[keyword])))
+            found.append(F.when(bad, F.array(fault)).otherwise(none))
+    return found
+
+
 def _faults(schema: dict, value: Column, at: Column) -> Column:
     """Faults of a present ``value``, as an array of messages."""
     none = F.array().cast("array<string>")
@@ -66,6 +118,11 @@ def _faults(schema: dict, value: Column, at: Column) -> Column:
         allowed = F.array(*[canonical_json(F.lit(json.dumps(v))) for v in schema["enum"]])
         fault = F.concat(shown, F.lit(" must be equal to one of the allowed values"))
         found.append(F.when(F.array_contains(allowed, F.to_json(value)), none).otherwise(F.array(fault)))
+    if "const" in schema:
+        same = canonical_json(F.lit(json.dumps(schema["const"]))) == F.to_json(value)
+        fault = F.concat(shown, F.lit(" must be equal to constant"))
+        found.append(F.when(same, none).otherwise(F.array(fault)))
+    found += _limit_faults(schema, value, shown)
     of_object: list[Column] = []
     for key in schema.get("required", []):
         missing = F.concat(shown, F.lit(f" must have required property '{key}'"))
@@ -106,22 +163,34 @@ def gate_calls(
 ) -> DataFrame:
     """Add ``faults`` and ``valid`` to a table of calls with JSON arguments.
 
-    The catalogue is small (it is capped when curated), so every parameter
-    schema is compiled into one expression and calls are checked in a single
-    scan, without a join or shuffle. Anything but a JSON object counts as ``{}``.
+    Distinct parameter schemas are compiled into expressions, ``SCHEMAS_PER_SCAN``
+    at a time, and every scan checks the calls of their tools, without a join or
+    shuffle. A schema with a keyword that cannot be checked is refused. Anything
+    but a JSON object counts as ``{}``.
     """
-    if len(tools) > MAX_COMPILED_TOOLS:
-        raise ValueError(f"gate_calls compiles at most {MAX_COMPILED_TOOLS} tools")
-    args = F.col("_args")
-    branch = None
+    for tool in tools:
+        check_schema(tool["function"]["parameters"], f" of {tool['function']['name']}")
+    prepared = spread(calls).withColumn("_args", tool_arguments(F.col(arguments)))
+    by_schema: dict[str, list[str]] = {}
     for tool in tools:
         spec = tool["function"]
-        faults = schema_faults(spec["parameters"], args)
-        test = F.col(name) == spec["name"]
-        branch = F.when(test, faults) if branch is None else branch.when(test, faults)
+        by_schema.setdefault(json.dumps(spec["parameters"], sort_keys=True), []).append(spec["name"])
+    schemas = list(by_schema.items())
+    parts = [schemas[i : i + SCHEMAS_PER_SCAN] for i in range(0, len(schemas), SCHEMAS_PER_SCAN)] or [[]]
+    every = [n for names in by_schema.values() for n in names]
     unknown = F.array(F.concat(F.lit("unknown tool: "), F.col(name)))
-    faults = unknown if branch is None else branch.otherwise(unknown)
-    checked = spread(calls).withColumn("_args", tool_arguments(F.col(arguments))).withColumn("faults", faults)
+    checked = None
+    for number, part in enumerate(parts):
+        faults = unknown
+        for text, names in reversed(part):
+            one = schema_faults(json.loads(text), F.col("_args"))
+            faults = F.when(F.col(name).isin(names), one).otherwise(faults)
+        mine = F.col(name).isin([n for _, names in part for n in names])
+        if number == 0:  # also takes the calls of no tool
+            mine = F.coalesce(mine | ~F.col(name).isin(every), F.lit(True))
+        rows = prepared if len(parts) == 1 else prepared.filter(mine)
+        rows = rows.withColumn("faults", faults)
+        checked = rows if checked is None else checked.unionByName(rows)
     return checked.withColumn("valid", F.size("faults") == 0).drop("_args")
 
 

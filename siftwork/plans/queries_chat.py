@@ -206,19 +206,26 @@ def training_sink(spark, d):
     )
 
 
-@query("eval_sink", "SELECT 'eval-factual-' || item_id AS id, 'factual' AS kind, md5(text) AS expected FROM benchmark")
+@query(
+    "eval_sink",
+    """SELECT 'eval-factual-' || item_id AS id, 'factual' AS kind, md5('What follows? ' || text) AS prompt, md5(text) AS expected,
+    item_id::VARCHAR AS chunks FROM benchmark""",
+)
 def eval_sink(spark, d):
     path = f"{checkpoint_dir(spark)}/eval-{uuid.uuid4().hex}"
     items = table(spark, d, "benchmark").select(
         F.concat(F.lit("eval-factual-"), "item_id").alias("id"),
         F.lit("factual").alias("kind"),
-        F.left("text", F.lit(40)).alias("prompt"),
+        F.concat(F.lit("What follows? "), "text").alias("prompt"),
         F.col("text").alias("expected"),
         F.lit(None).cast(f"array<{CALL}>").alias("expectedToolCalls"),
         F.array(F.col("item_id").cast("string")).alias("sourceChunks"),
     )
     sinks.write_eval(items, path)
-    return readers.read_eval_items(spark, path).select("id", "kind", F.md5("expected").alias("expected"))
+    return readers.read_eval_items(spark, path).select(
+        "id", "kind", F.md5("prompt").alias("prompt"), F.md5("expected").alias("expected"),
+        F.array_join("sourceChunks", ",").alias("chunks"),
+    )
 
 
 # --- JSON values -----------------------------------------------------------------------
@@ -519,13 +526,13 @@ def judge_disagreements(spark, d):
 
 
 def _coverage(spark, d):
-    events = table(spark, d, "events", "user_id", "event_type").filter("event_type <> 'error' or user_id < 9")
+    events = table(spark, d, "events", "user_id", "event_type")
     used = events.groupBy("user_id").agg(F.collect_set("event_type").alias("tools"))
     known = spark.createDataFrame([(t,) for t in ["click", "view", "purchase", "refund"]], "tool string")
     return quality.tool_coverage(used, known, minimum=20)
 
 
-_COVERAGE = """WITH u AS (SELECT event_type AS tool, count(DISTINCT user_id) AS n FROM events WHERE event_type <> 'error' OR user_id < 9 GROUP BY 1),
+_COVERAGE = """WITH u AS (SELECT event_type AS tool, count(DISTINCT user_id) AS n FROM events GROUP BY 1),
     a AS (SELECT tool FROM u UNION SELECT unnest(['click', 'view', 'purchase', 'refund'])),
     c AS (SELECT tool, coalesce(n, 0) AS examples FROM a LEFT JOIN u USING (tool))
     SELECT tool, examples, greatest(0, 20 - examples) AS deficit, greatest(0, examples - 20) AS surplus, examples >= 20 AS pass FROM c"""
@@ -564,14 +571,14 @@ def strata_union(spark, d):
 
 
 _SIDE = score_sql(SALT, "doc_id")
-_LEAK = f"""WITH used AS (SELECT DISTINCT doc_id + unnest([0, 1, 2]) AS id FROM documents WHERE {_SIDE} < 0.7 AND doc_id % 5 = 0),
+_LEAK = f"""WITH used AS (SELECT DISTINCT doc_id + unnest([0, 1, 2]) AS id FROM documents WHERE {_SIDE} < 0.7),
     held AS (SELECT doc_id AS id FROM documents WHERE {_SIDE} >= 0.7)"""
 
 
 def _leak_sides(spark, d):
     docs = table(spark, d, "documents", "doc_id").withColumn("train", hash_score(SALT, F.col("doc_id")) < 0.7)
     sources = F.array(*[F.col("doc_id") + i for i in range(3)])
-    train = docs.filter("train and doc_id % 5 = 0").select(sources.alias("source_chunks"))
+    train = docs.filter("train").select(sources.alias("source_chunks"))
     return train, docs.filter("not train").select(F.col("doc_id").alias("id"))
 
 

@@ -409,13 +409,13 @@ _EVAL_SHARES = {"factual": 4, "reasoning": 1, "single-turn-tool": 2, "multi-turn
 _EVAL_PLAN = f"""{_EVAL}, total AS (SELECT count(*) // 8 AS u FROM documents),
     rows_ AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents),
     k AS (SELECT idx, u, CASE WHEN idx < 4*u THEN 'factual' WHEN idx < 5*u THEN 'reasoning' WHEN idx < 7*u THEN 'single-turn-tool'
-        WHEN idx < 8*u THEN 'multi-turn-tool' END AS kind,
+        ELSE 'multi-turn-tool' END AS kind,
         CASE WHEN idx < 4*u THEN idx WHEN idx < 5*u THEN idx - 4*u WHEN idx < 7*u THEN idx - 5*u ELSE idx - 7*u END AS local FROM rows_, total),
     plan AS MATERIALIZED (SELECT idx, kind, CASE kind WHEN 'reasoning' THEN local * 3 ELSE local END % size.n AS start_,
         CASE kind WHEN 'reasoning' THEN 3 WHEN 'multi-turn-tool' THEN 2 ELSE 1 END AS size_,
         CASE kind WHEN 'single-turn-tool' THEN [{_TOOL_LIST}][local % 5 + 1]
             WHEN 'multi-turn-tool' THEN [{_TOOL_LIST}][local % 5 + 1] || ',' || [{_TOOL_LIST}][(local + 1) % 5 + 1] ELSE '' END AS tools
-        FROM k, size WHERE kind IS NOT NULL),
+        FROM k, size),
     {_ids('plan')}"""
 
 
@@ -436,9 +436,10 @@ def _eval_docs(spark, d, *columns):
 
 def _eval_plan(spark, d):
     docs = documents(spark, d, "doc_id")
-    unit = docs.count() // 8
+    total = docs.count()
     rows = ordering.dense_ordinal(docs, "doc_id", out="index").select("index")
-    counts = {k: s * unit for k, s in _EVAL_SHARES.items()}
+    counts = {k: s * (total // 8) for k, s in _EVAL_SHARES.items()}
+    counts["multi-turn-tool"] += total % 8  # the rest, so that every row has a kind
     return planning.eval_plan(rows, _eval_docs(spark, d), "doc_id", TOOLS, counts)
 
 

@@ -377,3 +377,35 @@ def test_question_flow(spark):
     assert done.overlap.first()["pass"] and not done.coverage.first()["pass"]
     vectors = examples.select("example_id", F.array(F.lit(1.0), F.lit(0.0)).alias("embedding"))
     assert curate(examples, scores, known, held, vectors).funnel.first()["after_cosine"] == 1
+
+
+def _gated(spark, schema, values):
+    tool = {"type": "function", "function": {"name": "t", "description": "d", "parameters": {"type": "object", "properties": {"x": schema}}}}
+    calls = spark.createDataFrame([(i, "t", json.dumps({"x": v})) for i, v in enumerate(values)], "id int, name string, arguments string")
+    return [r["faults"] for r in catalog.gate_calls(calls, [tool]).orderBy("id").collect()]
+
+
+def test_type_lists_and_limits(spark):
+    assert _gated(spark, {"type": ["string", "null"]}, ["a", None, 3]) == [[], [], ["/x must be string,null"]]
+    assert _gated(spark, {"minimum": 2, "maximum": 4}, [1, 3, 5, "no number"]) == [["/x must be >= 2"], [], ["/x must be <= 4"], []]
+    assert _gated(spark, {"minLength": 2, "pattern": "^a"}, ["ab", "b"]) == [[], ["/x must NOT have fewer than 2 characters", '/x must match pattern "^a"']]
+    assert _gated(spark, {"const": {"a": 1}}, [{"a": 1}, 2]) == [[], ["/x must be equal to constant"]]
+    assert _gated(spark, {"type": "array", "maxItems": 1}, [[1], [1, 2]]) == [[], ["/x must NOT have more than 1 items"]]
+
+
+@pytest.mark.parametrize("schema", [{"anyOf": []}, {"items": {"format": "x"}}, {"type": "text"}, {"additionalProperties": {}}])
+def test_schemas_that_cannot_be_checked_are_refused(spark, schema):
+    with pytest.raises(ValueError):
+        _gated(spark, schema, [1])
+
+
+def test_many_tools_take_more_scans(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "SCHEMAS_PER_SCAN", 2)
+    schemas = [{"type": "object", "required": ["k"], "properties": {"k": {"type": "integer", "minimum": m}}} for m in range(5)]
+    tools = [{"type": "function", "function": {"name": f"t{i}", "description": "d", "parameters": schemas[i % 5]}} for i in range(1000)]
+    calls = [(f"t{i}", '{"k": %s}' % ('"x"' if i % 2 else i % 7)) for i in range(0, 1003, 17)] + [("none", "{}"), (None, "{}")]
+    rows = catalog.gate_calls(spark.createDataFrame(calls, "name string, arguments string"), tools).collect()
+    assert len(rows) == len(calls)
+    for r in rows:
+        i = int(r["name"][1:]) if r["name"] and r["name"] != "none" else 1000
+        assert r["valid"] == (i < 1000 and i % 2 == 0 and i % 7 >= i % 5)
