@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from siftwork.llm.common import together
+from siftwork.llm.common import slices, together
 
 # Fixed value: the public pre-token pattern, with white space spelled out.
 PATTERN = (
@@ -37,8 +37,8 @@ PATTERN = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 SHORT = 96
-REMEMBERED = 600_000
-TOGETHER = 512  # texts learnt from at once
+REMEMBERED = 250_000
+TOGETHER = 256  # texts learnt from at once
 LOCKSTEP = 8192  # words merged at once
 NO_RANK = 1 << 30
 
@@ -226,7 +226,7 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", out: str = "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(file.value)
-        for batch in batches:
+        for batch in slices(batches):
             rows = codec.encode_batch([t or "" for t in batch.column(text).to_pylist()])
             ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
             flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
@@ -244,8 +244,9 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(file.value)
-        for batch in batches:
-            texts = [codec.decode(row or []) for row in batch.column(ids).to_pylist()]
+        for batch in slices(batches):
+            rows = batch.column(ids)
+            texts = [codec.decode(rows[i].values.to_pylist() if rows[i].is_valid else []) for i in range(len(rows))]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(texts, pa.string())], names=[*keep, out]
             )

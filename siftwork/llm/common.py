@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -62,14 +62,11 @@ def join_groups(
     return apart.unionByName(marked.join(groups.filter(~bound), key, how), allowMissingColumns=True)
 
 
-def by_batch(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema
-) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield function(batch)
-
-    return df.mapInArrow(run, schema)
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that what Python holds of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

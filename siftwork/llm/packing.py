@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftwork.llm.bpe import byte_symbols
-from siftwork.llm.common import Scratch, together
+from siftwork.llm.common import Scratch, slices, together
 from siftwork.operators.ordering import position_within
 
 CAPACITY = 4096
@@ -107,7 +107,7 @@ def token_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(file.value)
-        for batch in batches:
+        for batch in slices(batches):
             row, piece, data = [], [], []
             for i, value in enumerate(batch.column(text).to_pylist()):
                 ids = words.encode(value or "") + end

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftwork.llm.common import together
+from siftwork.llm.common import slices, together
 
 MAX_FIT_ROWS = 24_000
 CANDIDATES, LANDMARKS, ALIKE = 600, 64, 0.6
@@ -40,7 +40,7 @@ SPAN, DECAY, POWER = 6, 0.7, 4
 SURE, FEW = 15.0, 16  # log-likelihood gain that chance alone does not give; landmarks taken without it
 LONGEST = 40  # a longer word is read as overlapping windows of this size
 LEAST = 0.03  # kernel values below this are as good as none
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 LETTERS = 29  # a to z, others, and the two ends
 PAIRS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
@@ -281,7 +281,7 @@ def with_pooled(df: DataFrame, landmarks: list[str], text: str, out: str) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = Kernel(landmarks)
-        for batch in batches:
+        for batch in slices(batches):
             pooled = kernel.pooled([t or "" for t in batch.column(text).to_pylist()])
             ends = pa.array(np.arange(len(pooled) + 1, dtype=np.int32) * len(landmarks))
             lists = pa.ListArray.from_arrays(ends, pa.array(pooled.ravel()))
@@ -299,7 +299,7 @@ def with_score(df: DataFrame, machine: Machine | float, text: str = "text", out:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = Kernel(machine.landmarks)
-        for batch in batches:
+        for batch in slices(batches):
             pooled = kernel.pooled([t or "" for t in batch.column(text).to_pylist()])
             scores = pa.array(machine.score(pooled).astype(np.float64))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], scores], names=[*keep, out])
