@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from siftwork.session import checkpoint_dir
 
+FEW = 256  # rows that never make a key heavy
 HEAVY_KEYS = 1024  # a key is heavy above this share of all rows, so at most so many are
 
 
@@ -51,15 +52,19 @@ def join_groups(
 
     ``groups`` is unique in ``key`` and has the members of each key counted in
     ``size``. Keys above 1/1024 of all rows, at most 1024 of them, are
-    broadcast, so their members are never gathered; the rest is shuffled.
-    Pass stored frames: both are read twice.
+    broadcast, so their members are never gathered; the rest is shuffled. Where
+    no key is that large, one shuffle join does. Pass stored frames: both are
+    read more than once.
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
-    bound = F.col(size) > F.lit(max(64, total // HEAVY_KEYS))
-    heavy = groups.filter(bound)
+    seen = groups.agg(F.sum(size), F.max(size)).first()
+    bound = max(FEW, (seen[0] or 0) // HEAVY_KEYS)
+    if (seen[1] or 0) <= bound:
+        return members.join(groups, key, how)
+    large = F.col(size) > bound
+    heavy = groups.filter(large)
     apart = members.join(F.broadcast(heavy), key)
     marked = members.join(F.broadcast(heavy.select(key)), key, "left_anti")
-    return apart.unionByName(marked.join(groups.filter(~bound), key, how), allowMissingColumns=True)
+    return apart.unionByName(marked.join(groups.filter(~large), key, how), allowMissingColumns=True)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:

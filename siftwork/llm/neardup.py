@@ -7,7 +7,8 @@ pair of similarity s shares a path with probability s per tree, and misses all
 of them with (1 - s) ** TREES, 6e-8 at 0.75.
 
 On every path the members are first compared with one pivot, the same one in
-all trees, which joins most groups of copies. Then a path is small if no more
+all trees, which joins most groups of copies; in ``STARS`` - 1 more rounds with
+two, one of the path's largest component and one of the others. Then a path is small if no more
 than ``SMALL`` of its members are outside its largest component: these are
 compared with all members. Any other path branches: each member goes on to the
 paths of further minwise tokens, chosen by a hash of the path, until all are
@@ -40,6 +41,7 @@ from siftwork.llm.components import components
 SHINGLE, SHARED, OF = 5, 75, 100  # words; 100 * intersection >= 75 * union
 TREES, SKETCH = 12, 128
 SMALL, DEEPEST = 24, 12
+STARS = 4
 SKETCH_LIMIT = 70  # agreeing sketch places; 96 are expected at 0.75, 5.3 deviations above
 PER_COPY = 64  # comparisons that one copy of a document serves
 
@@ -211,21 +213,26 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     stars = met.filter("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("t"))
     links = scratch.store(confirmed(_star_pairs(stars, involved, scratch), texts, scratch))
     comps = components(links, scratch)
-    # Members of all further paths, with their component.
-    members = met.select("path", "node").join(involved.drop("first"), "node").join(
-        comps.withColumnsRenamed({"root": "comp"}), "node", "left"
-    ).withColumn("comp", F.coalesce("comp", "node"))
+    placed = met.select("path", "node").join(involved.drop("first"), "node")
+    for number in range(1, STARS):
+        mixed = _mixed(_with_component(placed, comps), scratch)
+        order = F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node", "n", "sketch", "comp")
+        pivots = mixed.groupBy("path").agg(
+            F.first("m").alias("m"),
+            F.min(F.when(F.col("comp") == F.col("main"), order)).alias("inner"),
+            F.min(F.when(F.col("comp") != F.col("main"), order)).alias("outer"),
+        )
+        pivots = scratch.store(pivots.select("path", "m", F.array(F.col("inner").dropFields("h"), F.col("outer").dropFields("h")).alias("those")))
+        pairs = scratch.store(_candidate_pairs(join_groups(mixed.drop("m"), pivots, "path", "m")))
+        if pairs.isEmpty():
+            break
+        links = scratch.store(links.unionByName(confirmed(pairs, texts, scratch)))
+        comps = components(links, scratch)
+    members = _with_component(placed, comps)
     found = None
     level = 0
     while True:
-        members = scratch.store(members)
-        parts = members.groupBy("path", "comp").agg(F.count("*").alias("c"))
-        stats = parts.groupBy("path").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"))
-        stats = scratch.store(
-            stats.select("path", "m", F.col("top.comp").alias("main"), (F.col("m") - F.col("top.c")).alias("others"))
-            .filter("others > 0")
-        )
-        mixed = scratch.store(join_groups(members, stats, "path", "m"))
+        mixed = _mixed(members, scratch)
         small = mixed.filter(F.col("others") <= SMALL)
         those = small.filter("comp != main").groupBy("path").agg(
             F.first("m").alias("m"), F.collect_list(F.struct("node", "n", "sketch", "comp")).alias("those")
@@ -258,6 +265,21 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return answer
 
 
+def _with_component(placed: DataFrame, comps: DataFrame) -> DataFrame:
+    named = placed.join(comps.withColumnRenamed("root", "comp"), "node", "left")
+    return named.withColumn("comp", F.coalesce("comp", "node"))
+
+
+def _mixed(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """Members of paths with more than one component; per path its size, largest
+    component and how many members are outside it."""
+    members = scratch.store(members)
+    parts = members.groupBy("path", "comp").agg(F.count("*").alias("c"))
+    stats = parts.groupBy("path").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"))
+    stats = stats.select("path", "m", F.col("top.comp").alias("main"), (F.col("m") - F.col("top.c")).alias("others"))
+    return scratch.store(join_groups(members, scratch.store(stats.filter("others > 0")), "path", "m"))
+
+
 def _star_pairs(stars: DataFrame, involved: DataFrame, scratch: Scratch) -> DataFrame:
     """Candidate pairs of members with their pivots, which may have any number of them."""
     stars = scratch.store(stars)
