@@ -247,18 +247,17 @@ def deny_reason(
     identifiers: list[str] = BANNED_IDENTIFIERS,
     members: list[tuple[str, str]] = BANNED_MEMBERS,
 ) -> Column:
-    """First banned identifier in the text, else first banned member access, or null.
+    """The first banned identifier or member access in the order of the text, or null.
 
     A text scan, not a syntax check: names inside strings and comments count too.
     """
-    names = F.regexp_extract_all(body, F.lit(r"([A-Za-z_$][A-Za-z0-9_$]*)"), 1)
+    accesses = [rf"{owner}\s*\.\s*{member}(?![A-Za-z0-9_$])" for owner, member in members]
+    name = r"[A-Za-z_$][A-Za-z0-9_$]*"
+    found = F.regexp_extract_all(body, F.lit("((?<![A-Za-z0-9_$])(?:" + "|".join([*accesses, name]) + "))"), 1)
     banned = F.array(*[F.lit(i) for i in identifiers])
-    first = F.get(F.filter(names, lambda n: F.array_contains(banned, n)), F.lit(0))
-    reason = F.when(first.isNotNull(), F.concat(F.lit("banned identifier: "), first))
-    for owner, member in members:
-        pattern = rf"\b{owner}\s*\.\s*{member}\b"
-        reason = reason.when(body.rlike(pattern), F.lit(f"banned access: {owner}.{member}"))
-    return reason
+    first = F.get(F.filter(found, lambda n: n.contains(".") | F.array_contains(banned, n)), F.lit(0))
+    access = F.concat(F.lit("banned access: "), F.regexp_replace(first, r"\s", ""))
+    return F.when(first.contains("."), access).when(first.isNotNull(), F.concat(F.lit("banned identifier: "), first))
 
 
 def resource_failure(ok: Column, error: Column) -> Column:

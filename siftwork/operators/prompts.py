@@ -234,6 +234,7 @@ def _summaries(tools: list[dict], names: Column, pattern: str, glue: str) -> Col
     return F.array_join(F.transform(names, lambda n: lookup(table, n)), glue)
 
 
+# How a tool is listed.
 TOOL_SUMMARY = "Tool `{name}`: {description}\nParameter schema: {schema}"
 TOOL_EVAL_LINE = "- {name}: {description} (params: {schema})"
 
@@ -305,11 +306,13 @@ def design_prompt(size: Column, worker: Column, context: Column, product: str) -
     return fill(DESIGN_USER, worker=worker, size=size.cast("string"), product=product, context=context)
 
 
+# Fixed value: the wrapper of a chunk in the tool-design prompt.
+DESIGN_CHUNK = '<chunk id="{chunk}" source="{source}">\n{text}\n</chunk>'
+
+
 def design_chunk(chunk: Column, source: Column, text: Column) -> Column:
     """One chunk in the tool-design prompt's wrapper."""
-    return F.concat(
-        F.lit('<chunk id="'), chunk, F.lit('" source="'), source, F.lit('">\n'), text, F.lit("\n</chunk>")
-    )
+    return fill(DESIGN_CHUNK, chunk=chunk, source=source, text=text)
 
 
 def retry_round(

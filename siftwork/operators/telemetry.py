@@ -35,7 +35,7 @@ REPLAY = 1024
 
 # The log line shapes, tried in this order, and the skip marker.
 NUMBER = r"[\d.]+"
-NUMBER_OR_WORD = r"[\d.]+|[+-]?(?:nan|inf(?:inity)?)"
+NUMBER_OR_WORD = r"[\d.]+|[+-]?(?:(?i)nan|inf(?:inity)?)"
 TRAIN_LINE = r"Iter\s+(\d+):\s+Train loss\s+({n})"
 REWARD_LINE = r"^Iter\s+(\d+):\s+Val loss\s+({n}),\s+Val total_rewards_mean\s+({n})"
 LOSS_LINE = r"(?i)loss[:\s]+({n})"
@@ -66,14 +66,9 @@ def parse_line(line: Column, words: bool = True, val_loss: str = "parity") -> Co
     ``words`` also reads ``nan`` and ``inf`` as losses. Validation-loss lines
     count as losses with iter -1; ``val_loss="exclude"`` leaves them out.
     """
+    # only the number words ignore case; the line shapes do not
     n = NUMBER_OR_WORD if words else NUMBER
-    flag = "(?i)" if words else ""
-    train, reward = flag + TRAIN_LINE.replace("{n}", n), flag + REWARD_LINE.replace("{n}", n)
-    if words:
-        # only the number words ignore case; the line shapes do not
-        train, reward = train.removeprefix("(?i)"), reward.removeprefix("(?i)")
-        train = train.replace("(?:nan", "(?:(?i)nan")
-        reward = reward.replace("(?:nan", "(?:(?i)nan")
+    train, reward = TRAIN_LINE.replace("{n}", n), REWARD_LINE.replace("{n}", n)
     loss = LOSS_LINE.replace("{n}", n)
 
     def number(pattern: str, group: int) -> Column:

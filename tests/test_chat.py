@@ -409,3 +409,15 @@ def test_many_tools_take_more_scans(spark, monkeypatch):
     for r in rows:
         i = int(r["name"][1:]) if r["name"] and r["name"] != "none" else 1000
         assert r["valid"] == (i < 1000 and i % 2 == 0 and i % 7 >= i % 5)
+
+
+def test_deny_reason_follows_the_text(spark):
+    cases = {
+        "Date.now(); fetch(1)": "banned access: Date.now",
+        "fetch(1); Date . now()": "banned identifier: fetch",
+        "Math.floor(Math\n.random())": "banned access: Math.random",
+        "xDate.now(); Date.nowish()": None,
+        "return 1": None,
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "b string").select("b", catalog.deny_reason(F.col("b")).alias("r")).collect()
+    assert {r["b"]: r["r"] for r in rows} == cases
