@@ -94,25 +94,35 @@ def edited_likeness(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     Null keys come first.
     """
     scratch = Scratch(df.sparkSession)
-    texts = df.select(F.col(key), F.coalesce(text, F.lit("")).alias("_text"))
-    sizes = texts.groupBy(key).agg(F.max(F.length("_text")).alias("_n"))
-    order = scratch.store(dense_ordinal(sizes, key, out="_o"))
+    blank = F.lit("0").cast(df.schema[key].dataType)
+    texts = df.select(
+        F.col(key).isNull().alias("_none"), F.coalesce(key, blank).alias("_key"), F.coalesce(text, F.lit("")).alias("_text")
+    )
+    own = F.when(~F.col("_none"), F.col("_key"))
+    sizes = texts.groupBy(own.alias("_key")).agg(F.max(F.length("_text")).alias("_n"))
+    order = scratch.store(dense_ordinal(sizes, "_key", out="_o"))
     rows = max(order.count(), 1)
-    before = order.select(F.pmod(F.col("_o") + 1, F.lit(rows)).alias("_o"), F.col(key).alias("_before"), "_n")
-    place = scratch.store(order.select(F.col(key).alias("_key"), "_o").join(before, "_o").drop("_o"), keep=True)
-    base = with_marks(texts, "_text")
-    given = base.join(place, F.col(key).eqNullSafe(F.col("_key"))).select(
-        "_before", F.struct(F.expr("left(_text, int(_n div 4))").alias("tail"), F.col("marks").alias("marks")).alias("next")
+    before = order.select(
+        F.pmod(F.col("_o") + 1, F.lit(rows)).alias("_o"), F.col("_key").isNull().alias("_before_none"),
+        F.coalesce("_key", blank).alias("_before"), "_n",
+    )
+    this = order.select(F.col("_key").isNull().alias("_none"), F.coalesce("_key", blank).alias("_key"), "_o")
+    place = scratch.store(this.join(before, "_o").drop("_o"), keep=True)
+    # One shuffle of texts by key serves both: what a document gives to the one before it, and its own row.
+    base = with_marks(texts, "_text").repartition("_key", "_none")
+    given = base.join(place, ["_key", "_none"]).select(
+        F.col("_before").alias("_key"), F.col("_before_none").alias("_none"),
+        F.struct(F.expr("left(_text, int(_n div 4))").alias("tail"), F.col("marks").alias("marks")).alias("next"),
     )
-    given = given.groupBy("_before").agg(F.min("next").alias("next"))
-    met = base.join(given, F.col(key).eqNullSafe(F.col("_before")))
+    given = given.groupBy("_key", "_none").agg(F.min("next").alias("next"))
+    met = base.join(given, ["_key", "_none"])
     met = met.withColumn("n_chars", F.length("_text").cast("long")).withColumn(
         "edited", F.expr("concat(left(_text, int(n_chars - n_chars div 4)), left(next.tail, int(n_chars div 4)))")
     )
     met = with_marks(met.drop("_text"), "edited", "edited_marks")
     scratch.release()
     return met.select(
-        key,
+        own.alias(key),
         "n_chars",
         "edited",
         F.col("marks"),
