@@ -19,7 +19,8 @@ def test_shards_are_even_gapless_and_keep_groups(spark):
         assert r.size == len((texts[r.doc_id] or "").encode()) + 8
     rows["text"] = [texts[i] for i in rows.doc_id]
     split = rows.dropna(subset=["text"]).groupby("text").shard.agg(["nunique", "size"])
-    assert (split[split["size"] < 10]["nunique"] == 1).mean() > 0.98
+    # Groups of three fill shards of 58 or 59: with even counts about every second shard must split one.
+    assert (split[split["size"] < 10]["nunique"] == 1).mean() > 0.95
     assert split.loc["hot text", "nunique"] <= 2 + 500 // (len(texts) // 24)
 
 
