@@ -17,9 +17,9 @@ are told apart by bucket-pointer refinement:
   computed from running sums over the window. The sums are reused for all
   offsets, and a start repeats if its bucket has another member.
 
-Buckets of more than 1/1024 of all rows are refined by a combined count over
-rows instead of in one task, joined back through ``join_groups``; rows of one
-document are collapsed before any shuffle. Texts are shuffled once, and those
+Buckets of more than 1/1024 of all rows are refined by combined counts over
+blocks of offsets instead of in one task, joined back through ``join_groups``;
+rows of one document are collapsed before any shuffle. Texts are shuffled once, and those
 with open borders (a small part) once more.
 
 Null and short texts have no string of that length. Rows that repeat key and
@@ -167,6 +167,10 @@ def _runs(place: int, columns: np.ndarray) -> list[int]:
     return np.c_[first, last + LENGTH].ravel().__add__(place - SPREAD).tolist()
 
 
+_ARROW = {
+    "gram": pa.int64(), "place": pa.int32(), "low": pa.int32(), "high": pa.int32(), "is_open": pa.bool_(),
+    "base": pa.int32(), "part": pa.int64(), "whole": pa.int64(), "bytes": pa.binary(),
+}
 _OPEN = "gram long, place int, low int, high int, is_open boolean, bytes binary"
 
 
@@ -213,38 +217,64 @@ def _refine(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _refine_heavy(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
-    """The same for buckets of any size, by counting start hashes over rows."""
-    schema = T.StructType(
-        [rows.schema[key], rows.schema["_crc"], *T.StructType.fromDDL("place int, is_open boolean, col int, hash long").fields]
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1024):
-            row, column, mixed = _start_hashes(
-                batch.column("gram").to_numpy(), batch.column("low").to_numpy(),
-                batch.column("high").to_numpy(), batch.column("bytes").to_pylist(),
-            )
-            at = pa.array(row)
-            own = [batch.column(c).take(at) for c in (key, "_crc", "place", "is_open")]
-            yield pa.RecordBatch.from_arrays(
-                [*own, pa.array(column.astype(np.int32)), pa.array(mixed.view(np.int64))],
-                names=[key, "_crc", "place", "is_open", "col", "hash"],
-            )
+    """The same for buckets of any size, by combined counts over blocks of offsets.
 
-    starts = scratch.store(rows.mapInArrow(run, schema))
-    counts = scratch.store(starts.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1"))
-    again = join_groups(starts.filter("is_open"), counts, "hash")
-    columns = again.groupBy(key, "_crc", "place").agg(F.sort_array(F.collect_list("col")).alias("cols"))
-    run_schema = T.StructType([rows.schema[key], rows.schema["_crc"], T.StructField("runs", T.ArrayType(T.IntegerType()))])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            runs = [_runs(p, np.array(c)) for p, c in zip(batch.column("place").to_pylist(), batch.column("cols").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), batch.column("_crc"), pa.array(runs, pa.list_(pa.int32()))], names=[key, "_crc", "runs"]
-            )
-
-    return columns.mapInArrow(merge, run_schema)
+    A block's strings share what all of them cover, its ``part``, and lie in what
+    any of them covers, its ``whole``. If the part has no second place, no
+    start of the block repeats; if the whole has one, all do. Other blocks are
+    split in eight, down to single offsets. Of blocks with one whole, one goes
+    on as a partner for blocks that their anchor covers only in part.
+    """
+    own = [rows.schema[key], rows.schema["_crc"]]
+    fields = "gram long, place int, low int, high int, is_open boolean, base int, part long, whole long, bytes binary"
+    schema = T.StructType([*own, *T.StructType.fromDDL(fields).fields])
+    names = _names(fields)
+
+    def split(size: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, 1024):
+                owner, made = [], []
+                columns = (batch.column(c).to_pylist() for c in ("gram", "place", "low", "high", "is_open", "top", "bytes"))
+                for i, (gram, place, low, high, is_open, top, data) in enumerate(zip(*columns)):
+                    for base in range(low // size * size, high + 1, size):
+                        last, first = base + size - 1, max(low, base)
+                        seed = (gram ^ (base << 12 | size)) & ((1 << 64) - 1)
+                        # data begins at offset top, that is top bytes before the anchor
+                        part = xxhash.xxh3_64_intdigest(data[top - base : top - last + LENGTH], seed)
+                        full = low <= base and last <= high
+                        inside = data[top - min(high, last) : top - first + LENGTH]
+                        whole = xxhash.xxh3_64_intdigest(inside, seed ^ 1 << 40) - (1 << 63) if full else None
+                        owner.append(i)
+                        made.append((gram, place, first, min(high, last), is_open, base, part - (1 << 63), whole, inside))
+                at = pa.array(owner, pa.int64())
+                values = list(zip(*made)) or [[]] * len(names)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(key).take(at), batch.column("_crc").take(at)]
+                    + [pa.array(v, _ARROW[c]) for v, c in zip(values, names)],
+                    names=[key, "_crc", *names],
+                )
+
+        return run
+
+    valid = None
+    level = rows.withColumn("top", F.col("high"))
+    for size in (64, 8, 1):
+        staged = level.select(key, "_crc", "gram", "place", "low", "high", "is_open", "top", "bytes")
+        blocks = scratch.store(staged.mapInArrow(split(size), schema))
+        parts = scratch.store(blocks.groupBy("part").agg(F.count("*").alias("n")).filter("n > 1"))
+        alive = scratch.store(join_groups(blocks, parts, "part").drop("n"))
+        wholes = scratch.store(
+            alive.filter("whole IS NOT NULL").groupBy("whole").agg(F.count("*").alias("n")).filter("n > 1")
+        )
+        met = join_groups(alive, wholes, "whole", how="left")
+        done = met.filter("n IS NOT NULL" if size > 1 else "true")
+        ranges = done.filter("is_open").select(key, "_crc", "place", "low", "high")
+        valid = ranges if valid is None else valid.unionByName(ranges)
+        if size > 1:
+            partners = done.drop("n").dropDuplicates(["whole"]).withColumn("is_open", F.lit(False))
+            level = met.filter("n IS NULL").drop("n").unionByName(partners).withColumn("top", F.col("high"))
+    runs = F.array(F.col("place") - F.col("high"), F.col("place") - F.col("low") + LENGTH)
+    return valid.select(key, "_crc", runs.alias("runs"))
 
 
 def cut_runs(text: bytes, runs: np.ndarray) -> tuple[int, int, bytes]:
