@@ -4,15 +4,20 @@ A document is its set of shingles. Equal sets are one node from the start. Every
 node draws minwise tokens: one per tree, and a sketch of 128 more. In each of
 ``TREES`` independent trees a node begins on the path of that tree's token, so a
 pair of similarity s shares a path with probability s per tree, and misses all
-of them with (1 - s) ** TREES, 6e-8 at 0.75.
+of them with (1 - s) ** TREES, 6e-8 at 0.75, where no path has to branch.
 
 On every path the members are first compared with one pivot, the same one in
 all trees, which joins most groups of copies; in ``STARS`` - 1 more rounds with
 two, one of the path's largest component and one of the others. Then a path is small if no more
 than ``SMALL`` of its members are outside its largest component: these are
 compared with all members. Any other path branches: each member goes on to the
-paths of further minwise tokens, chosen by a hash of the path, until all are
-small. Paths still large at ``DEEPEST`` are compared in full, in blocks.
+paths of two further minwise tokens, at distinct places chosen by a hash of the
+path, until all are small. A pair at 0.75 so has 1.5 expected meetings a level for
+each one before: in one tree it is kept at any depth with probability 8/9, and
+missed by all trees with (1 - 0.75 * 8/9) ** TREES, 1.9e-6, if places are taken as
+independent. Where over half of those outside the largest component go the same
+way, two ways cost more than they divide: such paths, and those still large at
+``DEEPEST``, are compared in full, in blocks.
 
 Sketches decide only what is looked at (a pair at the limit is overlooked with
 probability 1e-7); every link is confirmed on the full sets. A path, pivot or
@@ -228,7 +233,7 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
             break
         links = scratch.store(links.unionByName(confirmed(pairs, texts, scratch)))
         comps = components(links, scratch)
-    members = _with_component(placed, comps)
+    members = _with_component(placed, comps).withColumn("was", F.lit(None).cast("long"))
     found = None
     level = 0
     while True:
@@ -244,7 +249,11 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         if large.isEmpty():
             break
         level += 1
-        members = _in_blocks(large, level) if level > DEEPEST else _branches(large, level)
+        if level > DEEPEST:
+            members = _in_blocks(large, level)
+        else:
+            full = F.coalesce(2 * F.col("others") > F.col("was"), F.lit(False))
+            members = _branches(large.filter(~full), level).unionByName(_in_blocks(large.filter(full), level))
     extra = confirmed(scratch.store(found.distinct()), texts, scratch)
     comps = components(links.unionByName(scratch.store(extra)), scratch)
     sizes = nodes.join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -293,21 +302,28 @@ def _star_pairs(stars: DataFrame, involved: DataFrame, scratch: Scratch) -> Data
 
 
 def _branches(large: DataFrame, level: int) -> DataFrame:
-    """Members on the paths one token further: two at first, then one."""
-    ways = F.explode(F.sequence(F.lit(0), F.lit(1 if level == 1 else 0))).alias("way")
-    spread = large.select("path", "node", "n", "sketch", "comp", ways)
-    place = F.pmod(F.xxhash64("path", "way", F.lit(level)), F.lit(SKETCH)).cast("int")
+    """Members on the paths two tokens further, at distinct places of the sketch.
+
+    ``was`` is how many were outside the largest component of the path before.
+    """
+    ways = F.explode(F.array(F.lit(0), F.lit(1))).alias("way")
+    spread = large.select("path", "node", "n", "sketch", "comp", F.col("others").alias("was"), ways)
+    first = F.xxhash64("path", F.lit(level))
+    apart = F.col("way") * (1 + F.pmod(F.xxhash64("path", F.lit(-level)), F.lit(SKETCH - 1)))
+    place = F.pmod(F.pmod(first, F.lit(SKETCH)) + apart, F.lit(SKETCH)).cast("int")
     token = F.substring(F.col("sketch"), place + 1, F.lit(1))
-    return spread.select(F.xxhash64("path", "way", place, token).alias("path"), "node", "n", "sketch", "comp")
+    return spread.select(F.xxhash64("path", "way", place, token).alias("path"), "node", "n", "sketch", "comp", "was")
 
 
 def _in_blocks(large: DataFrame, level: int) -> DataFrame:
-    """Every path once for each block of its members, the others counting as its main part."""
-    blocks = F.ceil(F.col("m") / (SMALL // 2)).cast("int")
+    """Every path once for each block of those outside its largest component; all
+    others count as its main part, under a name that no earlier level has given."""
+    blocks = F.ceil(F.col("others") / (SMALL // 2)).cast("int")
     spread = large.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    own = F.pmod(F.xxhash64("node", F.lit(level)), blocks) == F.col("block")
-    comp = F.when(own, F.col("comp")).otherwise(F.lit(b"main"))
-    return spread.select(F.xxhash64("path", "block").alias("path"), "node", "n", "sketch", comp.alias("comp"))
+    own = (F.col("comp") != F.col("main")) & (F.pmod(F.xxhash64("node", F.lit(level)), blocks) == F.col("block"))
+    comp = F.when(own, F.col("comp")).otherwise(F.lit(f"main {level}".encode()))
+    path = F.xxhash64("path", "block").alias("path")
+    return spread.select(path, "node", "n", "sketch", comp.alias("comp"), F.lit(0).cast("long").alias("was"))
 
 
 def without_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -79,6 +79,28 @@ def test_deep_paths_and_blocks_lose_nothing(spark, monkeypatch):
     assert sorted(map(tuple, found)) == brute_components(texts)
 
 
+@pytest.mark.parametrize("own, shared", [(60, 28), (40, 10)])
+def test_pairs_at_the_limit_inside_a_template_family(spark, own, shared):
+    """A family of unlinked documents of similarity 0.6 to 0.74 with planted pairs just above 0.75."""
+    draw = random.Random(own)
+    template = prose(700, 180).split()
+
+    def words(n):
+        return ["own%d" % draw.randrange(10**9) for _ in range(n)]
+
+    texts = [" ".join(template + words(own)) for _ in range(200)]
+    for _ in range(80):
+        common = words(shared)
+        texts += [" ".join(template + common + words(own - shared)) for _ in range(2)]
+    sets = [shingle_set(t) for t in texts]
+    likeness = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in (0, 200)]
+    assert 0.59 < likeness[0] < 0.74 and 0.75 <= likeness[1] < 0.79
+    wanted = brute_components(texts)
+    assert sum(not kept for *_, kept in wanted) == 80
+    found = neardup.near_components(documents(spark, texts)).collect()
+    assert sorted(map(tuple, found)) == wanted
+
+
 @pytest.mark.parametrize("shape", ["path", "star", "cycle"])
 def test_components_of_any_shape(spark, shape):
     ends = {"path": [(i, i + 1) for i in range(60)], "star": [(0, i) for i in range(1, 200)], "cycle": [(i, (i + 1) % 40) for i in range(40)]}
