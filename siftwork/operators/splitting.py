@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ from siftwork.functions.draws import hash_score
 
 SALT = "phase-4-v1"
 TRAIN_RATIO = 0.7
+RUN = 1000  # ids that are joined to one text at a time
 
 
 def split_side(key: Column, salt: str = SALT, ratio: float = TRAIN_RATIO) -> Column:
@@ -32,18 +37,47 @@ def split_counts(split: DataFrame) -> DataFrame:
 
 
 def split_fingerprint(
-    train_ids: DataFrame, key: str, salt: str = SALT, max_ids: int = 1_000_000
+    train_ids: DataFrame, key: str, salt: str = SALT, max_ids: int | None = None
 ) -> DataFrame:
-    """sha256 over the salt and all sorted train ids joined by commas.
+    """sha256 over the salt and all sorted train ids joined by commas, for any number of ids.
 
-    One hash over one ordered text has to be built in one place, so the number
-    of ids is checked first. Stored splits use :func:`tree_fingerprint`, always.
+    Ids are sorted and joined to runs of text in parallel. SHA-256 goes through its
+    text in order, so one task reads the runs in turn and holds one at a time; it does
+    nothing but hash. ``max_ids`` refuses more ids, if given. Stored splits
+    use :func:`tree_fingerprint`, always.
     """
-    if train_ids.select(key).limit(max_ids + 1).count() > max_ids:
+    if max_ids is not None and train_ids.select(key).limit(max_ids + 1).count() > max_ids:
         raise ValueError(f"more than {max_ids} ids: use tree_fingerprint")
-    ids = F.array_sort(F.collect_list(F.col(key).cast("string")))
-    text = F.concat(F.lit(salt + ":"), F.array_join(ids, ","))
-    return train_ids.agg(F.count("*").alias("ids"), F.sha2(text, 256).alias("fingerprint"))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("id").to_pylist()
+            for at in range(0, len(ids), RUN):
+                run = [x for x in ids[at : at + RUN] if x is not None]
+                text = None if not run else ",".join(run)
+                n = len(ids[at : at + RUN])
+                yield pa.RecordBatch.from_pydict(
+                    {"low": run[:1] or [None], "high": run[-1:] or [None], "n": [n], "run": [text]},
+                    schema=pa.schema([("low", pa.string()), ("high", pa.string()), ("n", pa.int64()), ("run", pa.string())]),
+                )
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, total, first = hashlib.sha256(f"{salt}:".encode()), 0, True
+        for batch in batches:
+            for n, run in zip(batch.column("n").to_pylist(), batch.column("run")):
+                total += n
+                if run.is_valid:
+                    state.update(b"" if first else b",")
+                    state.update(run.as_py().encode())
+                    first = False
+        yield pa.RecordBatch.from_pydict({"ids": pa.array([total], pa.int64()), "fingerprint": [state.hexdigest()]})
+
+    ids = train_ids.select(F.col(key).cast("string").alias("id")).orderBy("id")
+    runs = ids.mapInArrow(joined, "low string, high string, n long, run string")
+    none = "string(null) AS low", "string(null) AS high", "0L AS n", "string(null) AS run"
+    runs = runs.unionByName(train_ids.sparkSession.range(1).selectExpr(*none))  # a row for no ids too
+    runs = runs.repartition(1).sortWithinPartitions("low", "high")
+    return runs.mapInArrow(hashed, "ids long, fingerprint string")
 
 
 def tree_fingerprint(

@@ -124,3 +124,15 @@ def test_boundary_inputs(spark):
     assert len(rows) == 10
     assert rows[0] == '{"b":true,"n":0,"s":"","x":null}'
     assert rows[5] == '{"b":false,"n":2147483647,"s":"null","x":null}'
+
+
+def test_flat_fingerprint_of_any_number_of_ids(spark):
+    many = spark.range(1_000_002).select(F.col("id").cast("string").alias("id"))
+    row = splitting.split_fingerprint(many.repartition(5), "id").first()
+    text = splitting.SALT + ":" + ",".join(sorted(map(str, range(1_000_002))))
+    assert tuple(row) == (1_000_002, hashlib.sha256(text.encode()).hexdigest())
+    odd = spark.createDataFrame([("b",), (None,), ("a",), ("b",), ("",)], "id string")
+    row = splitting.split_fingerprint(odd, "id").first()
+    assert tuple(row) == (5, hashlib.sha256(f"{splitting.SALT}:,a,b,b".encode()).hexdigest())
+    none = splitting.split_fingerprint(odd.filter("false"), "id").first()
+    assert tuple(none) == (0, hashlib.sha256(f"{splitting.SALT}:".encode()).hexdigest())
