@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwork.llm.common import Scratch
@@ -47,28 +47,36 @@ FEATURES = [
     "slashes", "in_path", "credential_before", "set_before", "quoted", "other_before", "known_format",
 ]
 
+EVIDENCE = ["set_before", "credential_before", "quoted"]  # of several places, the first by these
+
 
 def findings(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (key, value, before, after, uses): the distinct candidates of each text."""
+    """Rows (key, _row, value, uses, before, after): all places of the candidates of each
+    text, those of equal context once. ``_row`` numbers the texts; store it before use."""
     texts = df.select(F.col(key), F.coalesce(text, F.lit("")).alias("_text"))
     named = F.transform(F.regexp_extract_all("_text", F.lit(_SET), F.lit(1)), lambda v: F.regexp_replace(v, r"[.,;:)\]}#*$%&|<>!?]+$", ""))
     some = F.array_distinct(
         F.concat(F.regexp_extract_all("_text", F.lit(_RUN), F.lit(0)), named, F.regexp_extract_all("_text", F.lit(_FORMAT), F.lit(0)))
     )
     found = texts.withColumn("_values", F.filter(some, lambda v: F.length(v) >= 8)).filter(F.size("_values") > 0)
+    each = found.select(key, F.monotonically_increasing_id().alias("_row"), "_text", F.explode("_values").alias("value"))
+    value, whole = F.col("value"), F.col("_text")
+    # Pieces begin where the value does, the first one perhaps elsewhere.
+    literal = F.concat(F.lit(r"(?=\Q"), F.replace(value, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)"))
+    sizes = F.transform(F.split(whole, literal, -1), lambda piece: F.length(piece))
+    starts = F.aggregate(
+        sizes, F.array(F.lit(1)).cast("array<int>"), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n))
+    )
 
-    def with_context(value: Column) -> Column:
-        at = F.position(value, F.col("_text"))
+    def context(at: Column) -> Column:
         start = F.greatest(at - BEFORE, F.lit(1))
-        bare = F.length(F.replace(F.col("_text"), value, F.lit("")))
-        return F.struct(
-            value.alias("value"),
-            F.substring(F.col("_text"), start, at - start).alias("before"),
-            F.substring(F.col("_text"), at + F.length(value), F.lit(AFTER)).alias("after"),
-            ((F.length("_text") - bare) / F.length(value)).cast("long").alias("uses"),
-        )
+        before = F.substring(whole, start, at - start).alias("before")
+        return F.struct(before, F.substring(whole, at + F.length(value), F.lit(AFTER)).alias("after"))
 
-    return found.select(key, F.explode(F.transform("_values", with_context)).alias("f")).select(key, "f.*")
+    places = F.transform(F.filter(starts, lambda at: F.substring(whole, at, F.length(value)) == value), context)
+    bare = F.length(F.replace(whole, value, F.lit("")))
+    uses = ((F.length(whole) - bare) / F.length(value)).cast("long").alias("uses")
+    return each.select(key, "_row", "value", uses, F.explode(F.array_distinct(places)).alias("f")).select(key, "_row", "value", "uses", "f.*")
 
 
 def dictionary(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -118,15 +126,22 @@ def with_features(found: DataFrame, words: DataFrame, scratch: Scratch) -> DataF
 
 
 def assumed_labels(featured: DataFrame) -> DataFrame:
-    """Findings with ``label`` 1.0 or 0.0, without those that could be either."""
+    """Findings with ``label`` 1.0 or 0.0, without those that could be either.
+
+    A value with a hint at any place of its text is ordinary at none of them, and of
+    several places of a text with one label the one of most evidence stands for all.
+    """
     secret = (F.col("known_format") == 1) | (
         (F.col("credential_before") == 1) & (F.col("set_before") == 1) & (F.col("covered") < 0.5) & (F.col("digits") > 0)
     )
     hint = (F.col("credential_before") == 1) | (F.col("set_before") == 1) | (F.col("quoted") == 1)
     ordinary = (F.col("number") == 1) | (F.col("in_path") == 1) | (F.col("covered") >= 0.5) | (F.col("other_before") == 1)
-    return featured.withColumn(
-        "label", F.when(secret, 1.0).when(ordinary & ~hint, 0.0)
+    hinted = F.max(hint).over(Window.partitionBy("_row", "value"))
+    labelled = featured.withColumn(
+        "label", F.when(secret, 1.0).when(ordinary & ~hinted, 0.0)
     ).filter(F.col("label").isNotNull())
+    order = Window.partitionBy("_row", "value", "label").orderBy(*[F.desc(c) for c in EVIDENCE], "before", "after")
+    return labelled.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
 
 
 def train(labelled: DataFrame, max_rows: int = MAX_FIT_ROWS) -> RandomForestClassificationModel | float:
@@ -153,13 +168,17 @@ def judged(featured: DataFrame, forest: RandomForestClassificationModel | float,
 def scan(
     df: DataFrame, words: DataFrame, key: str = "doc_id", text: str = "text", labelled: DataFrame | None = None
 ) -> DataFrame:
-    """All findings with features, score and verdict."""
+    """One row per text and candidate: features and score of the place that looks most
+    like a secret, so a value is a secret if it is one at any of its places."""
     scratch = Scratch(df.sparkSession)
     found = scratch.store(findings(df, key, text))
     featured = scratch.store(with_features(found, words, scratch), keep=True)
     forest = train(assumed_labels(featured) if labelled is None else labelled)
     scratch.release()
-    return judged(featured, forest)
+    places = judged(featured, forest)
+    top = F.max(F.struct("score", *EVIDENCE, *[c for c in FEATURES if c not in EVIDENCE], "before", "after", "uses", "is_secret", key)).alias("f")
+    best = places.groupBy("_row", "value").agg(top)
+    return best.select(f"f.{key}", "value", "f.before", "f.after", "f.uses", *[f"f.{c}" for c in FEATURES], "f.score", "f.is_secret")
 
 
 def redacted(df: DataFrame, verdicts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

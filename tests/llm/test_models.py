@@ -158,3 +158,24 @@ def test_secrets_are_found_and_masked(spark):
     assert len(clean) == len(texts) and clean[1] == "use <secret> now, <secret> again"
     assert clean[5] is None and clean[7] == texts[7] and key not in clean[0]
     assert secrets.scan(documents(spark, []), words).count() == 0
+
+
+def test_every_place_of_a_value_counts(spark):
+    key, word = "9f86d081884c7d659a2feaa0c55ad015", "hunterhunter7"
+    texts = [
+        f"see /srv/{key}/x for more. {'la ' * 40}token = '{key}' here",
+        f"the x{word}x and {word} stay. {'la ' * 40}password: {word}",
+        f"at {key}{key[:3]} end \\E {'la ' * 40}secret=ab\\Ecd\\Q12\\E9",
+        f"commit {key[::-1]} done",
+    ]
+    texts += [f"token = '{zlib.crc32(bytes([i])):08x}{zlib.crc32(bytes([i, 1])):08x}ab' and number {10**15 + i}" for i in range(60)]
+    docs = documents(spark, texts)
+    found = secrets.scan(docs, secrets.dictionary(docs.select("text")))
+    rows = {(r["doc_id"], r["value"]): r for r in found.collect()}
+    assert len(rows) == found.count()
+    for at in ((0, key), (1, word), (2, "ab\\Ecd\\Q12\\E9")):
+        assert rows[at]["is_secret"] and rows[at]["set_before"] == 1 and rows[at]["credential_before"] == 1
+    assert rows[0, key]["uses"] == 2 and rows[1, word]["uses"] == 3
+    assert not rows[3, key[::-1]]["is_secret"]
+    clean = {r["doc_id"]: r["text"] for r in secrets.redacted(docs, found).collect()}
+    assert key not in clean[0] and word not in clean[1]
