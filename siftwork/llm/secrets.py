@@ -1,7 +1,8 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-Candidates are long runs of key characters with a digit or a change of case, and
-whatever a credential word is set to. The forest looks at length, changes of
+Candidates are long runs of key characters with a digit or a change of case,
+whatever a credential word is set to, and what has a digit or a change of case
+right after a credential word and white space. The forest looks at length, changes of
 character class, letters covered by dictionary words, whether the value is part
 of a path or link, and the words next to it. It is trained on labelled findings,
 at most ``MAX_FIT_ROWS`` of them by hash (a documented bound). Without reviewed
@@ -38,8 +39,9 @@ OTHER_WORDS = "commit sha sha1 sha256 md5 hash uuid guid id isbn order invoice p
 KEY_FORMATS = [r"AKIA[0-9A-Z]{16}", r"gh[pousr]_[A-Za-z0-9]{36,}", r"xox[abprs]-[A-Za-z0-9-]{10,}", r"sk-[A-Za-z0-9_-]{20,}", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"]
 
 _CREDENTIAL = "(?:" + "|".join(CREDENTIAL_WORDS) + ")"
-_RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}"
+_RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|[A-Za-z+/_-]*?[a-z][A-Z])[A-Za-z0-9+/_-]{12,}+={0,2}"
 _SET = rf"(?i)(?<![A-Za-z]){_CREDENTIAL}[\"']?\s?[=:]\s?[\"']?([^\s\"']{{8,}})"
+_OPENED = rf"(?i)(?<![A-Za-z]){_CREDENTIAL}\s+(?=[\"']?((?=\S*[0-9]|(?-i:\S*[a-z][A-Z]))[^\s\"']{{8,}}))"
 _FORMAT = "(?<![A-Za-z0-9])(?:" + "|".join(KEY_FORMATS) + ")"
 
 FEATURES = [
@@ -54,7 +56,7 @@ def findings(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """Rows (key, _row, value, uses, before, after): all places of the candidates of each
     text, those of equal context once. ``_row`` numbers the texts; store it before use."""
     texts = df.select(F.col(key), F.coalesce(text, F.lit("")).alias("_text"))
-    named = F.transform(F.regexp_extract_all("_text", F.lit(_SET), F.lit(1)), lambda v: F.regexp_replace(v, r"[.,;:)\]}#*$%&|<>!?]+$", ""))
+    named = F.transform(F.concat(*[F.regexp_extract_all("_text", F.lit(p), F.lit(1)) for p in (_SET, _OPENED)]), lambda v: F.regexp_replace(v, r"[.,;:)\]}#*$%&|<>!?]+$", ""))
     some = F.array_distinct(
         F.concat(F.regexp_extract_all("_text", F.lit(_RUN), F.lit(0)), named, F.regexp_extract_all("_text", F.lit(_FORMAT), F.lit(0)))
     )

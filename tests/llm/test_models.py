@@ -179,3 +179,10 @@ def test_every_place_of_a_value_counts(spark):
     assert not rows[3, key[::-1]]["is_secret"]
     clean = {r["doc_id"]: r["text"] for r in secrets.redacted(docs, found).collect()}
     assert key not in clean[0] and word not in clean[1]
+
+
+def test_keys_without_a_digit_are_candidates(spark):
+    key = "kQzRtPwXbNmLcVyH"
+    texts = [f"Bearer {key} sent", f"call('{key}')", f"list {key}, x", "Bearer aBcDeFgH sent", "plainlowercaseword secrets management", "UPPERCASEWORDS"]
+    found = {(r["doc_id"], r["value"]) for r in secrets.findings(documents(spark, texts)).collect()}
+    assert found == {(0, key), (1, key), (2, key), (3, "aBcDeFgH")}
