@@ -31,9 +31,9 @@ class Scratch:
         self.spark = spark
         self.paths: list[str] = []
 
-    def store(self, df: DataFrame, keep: bool = False) -> DataFrame:
+    def store(self, df: DataFrame, keep: bool = False, by: str | None = None) -> DataFrame:
         path = f"{checkpoint_dir(self.spark)}/llm-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=by)
         if not keep:
             self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import bpe, neardup, packing, quality, repeats, secrets, sharding, spots, toxicity, urls
+from siftwork.llm import (
+    bpe,
+    centroids,
+    chats,
+    neardup,
+    packing,
+    periods,
+    quality,
+    repeats,
+    secrets,
+    sharding,
+    spots,
+    toxicity,
+    urls,
+)
 from siftwork.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +138,37 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     words = secrets.dictionary(read(spark, folder, "conversations").select("text"))
     found = secrets.scan(read(spark, folder, "documents").select("doc_id", "text"), words)
     return found.select("doc_id", "value", "uses", *secrets.FEATURES, "score", "is_secret")
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    texts = documents.select("doc_id", periods.stretched("doc_id", "text").alias("text"))
+    found = periods.with_runs(texts).withColumn("best", periods.strongest("runs"))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(F.expr("1000 * best.length div best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    clustered = centroids.lloyd(read(spark, folder, "embeddings"))
+    components = F.array_join("centroid", ",").cast("binary")
+    return clustered.withColumn("centroid_sha256", F.sha2(components, 256)).drop("centroid")
+
+
+@query
+def op13_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    formatted = chats.format_conversations(turns.unionByName(added))
+    return chats.conversation_digests(chats.read_back(formatted)).withColumnRenamed("conv", "conv_id")
