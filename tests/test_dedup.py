@@ -77,8 +77,8 @@ def _texts(seed, families=12, copies=14):
         Plan(rows_per_band=1),
         Plan(rows_per_band=3),
         Plan(pivots=3, hot_bucket=5),
-        Plan(pivots=1, hot_bucket=2, finish_edges=0),
-        Plan(finish_edges=0),
+        Plan(pivots=1, hot_bucket=2, range_rows=40),
+        Plan(range_rows=10),
     ],
     ids=["default", "rows1", "rows3", "hot", "hot-rounds", "rounds"],
 )
@@ -149,20 +149,73 @@ def test_low_thresholds_narrow_the_bands(spark):
         Plan(threshold=0.0).prefix  # noqa: B018
 
 
-def test_rounds_on_random_graphs(spark):
+def _resolved(spark, edges, n, range_rows):
+    frame = spark.createDataFrame(sorted(edges), "src bigint, dst bigint").repartition(3)
+    nodes = spark.range(n).select(F.col("id").alias("ord"), F.lit(False).alias("hidden"))
+    return {r["ord"]: r["stays"] for r in dedup.resolve_in_ranges(frame, nodes, range_rows).collect()}
+
+
+def _kept(edges, n):
+    earlier = {}
+    for src, dst in edges:
+        earlier.setdefault(dst, set()).add(src)
+    kept = set()
+    for i in range(n):
+        if not kept & earlier.get(i, set()):
+            kept.add(i)
+    return {i: i in kept for i in range(n)}
+
+
+@pytest.mark.parametrize("range_rows", [20, 10_000])
+def test_ranges_on_random_graphs(spark, range_rows):
     rng = random.Random(11)
-    for _ in range(2):
-        edges = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(110)}
-        kept = []
-        for i in range(60):
-            if not any((k, i) in edges for k in kept):
-                kept.append(i)
-        frame = spark.createDataFrame(sorted(edges), "src bigint, dst bigint")
-        nodes = spark.range(60).select(F.col("id").alias("ord"), F.lit(False).alias("hidden"))
-        rounds = dedup.resolve_in_rounds(frame, nodes).filter("stays").collect()
-        assert sorted(r["ord"] for r in rounds) == kept
-        one = dedup._resolve_in_one_task(frame).filter("not stays").collect()
-        assert {r["ord"] for r in one} == set(range(60)) - set(kept)
+    edges = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(110)}
+    assert _resolved(spark, edges, 60, range_rows) == _kept(edges, 60)
+
+
+def test_a_chain_of_5000_settles(spark):
+    chain = [(i, i + 1) for i in range(4999)]
+    assert _resolved(spark, chain, 5000, 2500) == {i: i % 2 == 0 for i in range(5000)}
+
+
+def test_hidden_nodes_are_dropped_but_not_kept(spark):
+    edges = spark.createDataFrame([(0, 1), (1, 2), (3, 4), (5, 6)], "src bigint, dst bigint")
+    hidden = F.col("id").isin(1, 3, 6)
+    nodes = spark.range(7).select(F.col("id").alias("ord"), hidden.alias("hidden"))
+    for rows in (2, 100):
+        found = {r["ord"]: r["stays"] for r in dedup.resolve_in_ranges(edges, nodes, rows).collect()}
+        assert found == {0: True, 1: False, 2: True, 5: True, 6: False}
+
+
+def _largest_task(spark, df):
+    """Rows of the fullest partition of ``df``."""
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def test_a_third_of_the_rows_on_one_key_is_dealt_out(spark):
+    members = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("key"), F.col("id").alias("ord")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = dedup.cut(members.groupBy("key").agg(F.count("*").alias("n")))
+        met = dedup.join_groups(members.repartition(16), sizes, "key")
+        assert met.count() == 30_000 and _largest_task(spark, met) < 8000
+        pairs = spark.range(30_000).select(F.lit(1).alias("key"), F.col("id").alias("ord"), F.lit(30_000).alias("n"))
+        plan = Plan(pivots=2, hot_bucket=1000)
+        first = pairs.filter("ord < 2")
+        met = dedup.candidate_pairs(pairs, first, 2, plan)
+        assert met.count() == 29_999 + 29_998
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_copies_of_one_text_point_to_the_first(spark):
+    texts = ["same old words again and again"] * 900 + [f"t{i} u{i} v{i} w{i}" for i in range(900)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    found = duplicate_matches(rows, "id", "text").collect()
+    assert sorted(r["ord"] for r in found) == list(range(1, 900))
+    assert {(r["kept"], r["agreement"]) for r in found} == {(0, 1.0)}
 
 
 def _cosine(a, b):
