@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,38 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Workspace:
+    """Tables in the shared checkpoint folder, emptied once nothing reads them.
+
+    A stored table cuts lineage and survives a lost executor, and unlike a
+    checkpoint its columns are read one by one. ``release`` empties all tables but
+    those stored with ``keep``, which back a returned frame.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def store(self, df: DataFrame, keep: bool = False) -> DataFrame:
+        path = f"{checkpoint_dir(self.spark)}/table-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        if not keep:
+            self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        nothing = self.spark.createDataFrame([], "none int").coalesce(1)
+        for path in self.paths:
+            nothing.write.mode("overwrite").parquet(path)
+        self.paths.clear()
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.release()
+
+
 SPLIT_BYTES = 128 << 20
 
 

@@ -262,3 +262,32 @@ def test_small_vectors(spark):
     mixed = rows.unionByName(spark.createDataFrame([(3, [1.0])], "id bigint, v array<double>"))
     with pytest.raises(Exception, match="length mismatch"):
         drop_similar_vectors(mixed, "id", "v").collect()
+
+
+def test_the_bound_of_two_boxes_holds():
+    rng = np.random.default_rng(3)
+    axes = np.linalg.qr(rng.normal(size=(12, 4)))[0]
+    for _ in range(50):
+        a, b = (rng.normal(size=(8, 12)) + 2 * rng.normal(size=12) for _ in range(2))
+        a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (a, b))
+        assert (a @ b.T).max() <= vectors._reach(vectors._box(a, axes), vectors._box(b, axes))
+
+
+def test_many_vectors_without_the_driver(spark, monkeypatch):
+    """Clusters, a third of all rows near one vector, exact copies; several blocks and parts."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 8))
+    items = centres[rng.integers(0, 40, 6000)] + 0.12 * rng.normal(size=(6000, 8))
+    items[::3] = centres[0] + 0.02 * rng.normal(size=(2000, 8))
+    items[1::60] = items[1]
+    units = items / np.linalg.norm(items, axis=1, keepdims=True)
+    expected = vectors._greedy(units, 0.97).tolist()
+    skipped = []
+    reach = vectors._reach
+    own = reach(vectors._box(units[:1], np.eye(8)[:, :4]), vectors._box(-units[:1], np.eye(8)[:, :4]))
+    skipped.append(own < 0.97)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(items)], "id bigint, v array<double>")
+    for name in ("toArrow", "toPandas", "toLocalIterator"):
+        monkeypatch.setattr(type(rows), name, lambda *_: pytest.fail("rows reach the driver"))
+    got = drop_similar_vectors(rows, "id", "v", 0.97, 1500).select("id")
+    assert sorted(r["id"] for r in got.collect()) == expected and all(skipped)
