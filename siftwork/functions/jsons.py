@@ -19,18 +19,31 @@ def variant_type(value: Column) -> Column:
     )
 
 
-def strict_json(raw: Column) -> Column:
-    """Variant of a text that is one JSON value and nothing else, or null.
+_END = "end of the one value"
 
-    ``try_parse_json`` reads the first value and ignores what follows. A text
-    that parses both inside ``[...]`` and inside ``{"v":...}`` has no rest:
-    what closes one bracket early is an error in the other.
-    """
+
+def _strict_in_two(raw: Column) -> Column:
     in_array = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"v":'), raw, F.lit("}")))
     return F.when(in_array.isNotNull() & in_object.isNotNull(), F.try_parse_json(raw))
 
 
+def strict_json(raw: Column) -> Column:
+    """Variant of a text that is one JSON value and nothing else, or null.
+
+    ``try_parse_json`` reads the first value and ignores what follows. So the text
+    is parsed as the first of an array's two values, the second being a mark:
+    a rest, or a bracket closed early, leaves another array. Only a text that holds
+    the mark itself is parsed between two kinds of brackets: what closes one early
+    is an error in the other.
+    """
+    # Written without a lambda, so that generated code parses once for all columns that ask.
+    pair = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(f',"{_END}"]')))
+    alone = (F.try_variant_get(pair, "$[1]", "string") == _END) & F.try_variant_get(pair, "$[2]", "variant").isNull()
+    held = raw.contains(_END)
+    return F.when(alone & ~held, F.try_variant_get(pair, "$[0]", "variant")).when(held, _strict_in_two(raw))
+
+
 def tool_arguments(raw: Column) -> Column:
     """A JSON object as a variant; bad JSON, arrays, scalars and nulls become ``{}``."""
     parsed = strict_json(raw)

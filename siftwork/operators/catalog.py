@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwork.functions.jsons import canonical_json, strict_json, tool_arguments, variant_type
-from siftwork.functions.text import normalise_name, truncate
+from siftwork.functions.text import bind, normalise_name, truncate
 from siftwork.session import spread
 
 GATES = ["schema", "parse", "sandbox", "fuzz", "trajectory"]
@@ -40,16 +40,23 @@ GATE_KEYWORDS = [
 ]
 ANNOTATIONS = ["description", "title", "default", "examples", "$schema", "$id", "$comment", "readOnly", "writeOnly", "deprecated"]
 
-SCHEMAS_PER_SCAN = 40  # distinct schemas compiled into one expression; more take more scans
+# What a value beyond a limit is told.
+LIMIT_MESSAGES = {
+    "minimum": "must be >= {}",
+    "maximum": "must be <= {}",
+    "exclusiveMinimum": "must be > {}",
+    "exclusiveMaximum": "must be < {}",
+    "minLength": "must NOT have fewer than {} characters",
+    "maxLength": "must NOT have more than {} characters",
+    "pattern": 'must match pattern "{}"',
+    "minItems": "must NOT have fewer than {} items",
+    "maxItems": "must NOT have more than {} items",
+}
 
 
 # --- schema gate ------------------------------------------------------------
 
 
-def _path(key: str) -> str:
-    return '$["' + key + '"]'
-
-
 def check_schema(schema: dict, at: str = "") -> None:
     """Refuse a schema with a keyword or form the gate would have to ignore."""
     if not isinstance(schema, dict):
@@ -68,94 +75,169 @@ def check_schema(schema: dict, at: str = "") -> None:
         check_schema(schema["items"], f"{at}/items")
 
 
-def _type_fault(value: Column, wanted: str | list[str], at: Column) -> Column:
-    kind, number = variant_type(value), F.try_variant_get(value, "$", "double")
-    options = [wanted] if isinstance(wanted, str) else wanted
-    good = F.lit(False)
-    for option in options:
-        if option == "integer":
-            good = good | ((kind == "number") & (number == F.floor(number)))
-        else:
-            good = good | (kind == option)
-    fault = F.concat(at, F.lit(f" must be {','.join(options)}"))
-    return F.when(~good, F.array(fault)).otherwise(F.array().cast("array<string>"))
-
-
-def _limit_faults(schema: dict, value: Column, at: Column) -> list[Column]:
-    """Faults against limits of numbers, texts and arrays; other kinds pass."""
-    none = F.array().cast("array<string>")
-    number, text = F.try_variant_get(value, "$", "double"), F.try_variant_get(value, "$", "string")
-    size = F.size(F.try_variant_get(value, "$", "array<variant>"))
-    tests = {
-        "minimum": ("number", lambda n: number >= n, "must be >= {}"),
-        "maximum": ("number", lambda n: number <= n, "must be <= {}"),
-        "exclusiveMinimum": ("number", lambda n: number > n, "must be > {}"),
-        "exclusiveMaximum": ("number", lambda n: number < n, "must be < {}"),
-        "minLength": ("string", lambda n: F.length(text) >= n, "must NOT have fewer than {} characters"),
-        "maxLength": ("string", lambda n: F.length(text) <= n, "must NOT have more than {} characters"),
-        "pattern": ("string", lambda n: text.rlike(n), 'must match pattern "{}"'),
-        "minItems": ("array", lambda n: size >= n, "must NOT have fewer than {} items"),
-        "maxItems": ("array", lambda n: size <= n, "must NOT have more than {} items"),
-    }
+def _limits(schema: dict) -> list[dict]:
+    """Rules of one schema node, in the order in which their faults are told."""
     found = []
-    for keyword, (kind, test, message) in tests.items():
-        if keyword in schema:
-            bad = (variant_type(value) == kind) & ~test(schema[keyword])
-            fault = F.concat(at, F.lit(" " + message.format(schema[keyword])))
-            found.append(F.when(bad, F.array(fault)).otherwise(none))
-    return found
 
+    def add(keyword: str, message: str, texts: list[str] = [], number: float | None = None) -> None:  # noqa: B006
+        found.append({"keyword": keyword, "texts": texts, "number": number, "message": message})
 
-def _faults(schema: dict, value: Column, at: Column) -> Column:
-    """Faults of a present ``value``, as an array of messages."""
-    none = F.array().cast("array<string>")
-    shown = F.when(at == "", F.lit("/")).otherwise(at)
-    found: list[Column] = []
-    kind = variant_type(value)
     if "type" in schema:
-        found.append(_type_fault(value, schema["type"], shown))
+        options = [schema["type"]] if isinstance(schema["type"], str) else schema["type"]
+        add("type", f" must be {','.join(options)}", options)
     if "enum" in schema:
-        allowed = F.array(*[canonical_json(F.lit(json.dumps(v))) for v in schema["enum"]])
-        fault = F.concat(shown, F.lit(" must be equal to one of the allowed values"))
-        found.append(F.when(F.array_contains(allowed, F.to_json(value)), none).otherwise(F.array(fault)))
+        add("enum", " must be equal to one of the allowed values", [json.dumps(v) for v in schema["enum"]])
     if "const" in schema:
-        same = canonical_json(F.lit(json.dumps(schema["const"]))) == F.to_json(value)
-        fault = F.concat(shown, F.lit(" must be equal to constant"))
-        found.append(F.when(same, none).otherwise(F.array(fault)))
-    found += _limit_faults(schema, value, shown)
-    of_object: list[Column] = []
+        add("enum", " must be equal to constant", [json.dumps(schema["const"])])
+    for keyword, message in LIMIT_MESSAGES.items():
+        if keyword in schema:
+            limit = schema[keyword]
+            texts, number = ([limit], None) if keyword == "pattern" else ([], float(limit))
+            add(keyword, " " + message.format(limit), texts, number)
     for key in schema.get("required", []):
-        missing = F.concat(shown, F.lit(f" must have required property '{key}'"))
-        got = F.try_variant_get(value, _path(key), "variant")
-        of_object.append(F.when(got.isNull(), F.array(missing)).otherwise(none))
+        add("required", f" must have required property '{key}'", [key])
     if schema.get("additionalProperties") is False:
-        known = F.array(*[F.lit(k) for k in schema.get("properties", {})]).cast("array<string>")
-        keys = F.coalesce(F.json_object_keys(F.to_json(value)), none)
-        fault = F.concat(shown, F.lit(" must NOT have additional properties"))
-        of_object.append(F.transform(F.array_except(keys, known), lambda k: fault))
-    for key, inner in schema.get("properties", {}).items():
-        got = F.try_variant_get(value, _path(key), "variant")
-        inside = _faults(inner, got, F.concat(at, F.lit(f"/{key}")))
-        of_object.append(F.when(got.isNotNull(), inside).otherwise(none))
-    if of_object:
-        found.append(F.when(kind == "object", F.concat(*of_object)).otherwise(none))
+        add("additional", " must NOT have additional properties", list(schema.get("properties", {})))
+    return found
+
+
+def _step(key: str) -> str:
+    """A property as a step of a path; ``[]`` is the step to the items of an array."""
+    return "/" + key.replace("~", "~0").replace("/", "~1").replace("[", "~2")
+
+
+def compiled_rules(schema: dict, path: str = "", place: int = 0) -> dict[str, dict]:
+    """The nodes of a schema by path, each with its place among its siblings and its rules."""
+    nodes = {path: {"place": place, "rules": _limits(schema)}}
+    for number, (key, inner) in enumerate(schema.get("properties", {}).items()):
+        nodes |= compiled_rules(inner, path + _step(key), number)
     if schema.get("items"):
-        items = F.try_variant_get(value, "$", "array<variant>")
-        inside = F.flatten(
+        nodes |= compiled_rules(schema["items"], path + "[]")
+    return nodes
+
+
+_RULES = "array<struct<keyword:string,texts:array<string>,number:double,message:string>>"
+_NODES = f"map<string,struct<place:int,rules:{_RULES}>>"
+RULE_BYTES = 8 << 20  # compiled rules up to this size are broadcast
+
+
+def rule_table(spark: SparkSession, tools: list[dict]) -> tuple[DataFrame, int, int]:
+    """``(tool, nodes)`` of all tools, the depth of the deepest schema, and the size of the rules.
+
+    Of several tools with one name the first counts.
+    """
+    rows: dict[str, dict] = {}
+    for tool in tools:
+        spec = tool["function"]
+        check_schema(spec["parameters"], f" of {spec['name']}")
+        rows.setdefault(spec["name"], compiled_rules(spec["parameters"]))
+    depth = max((path.count("/") + path.count("[]") for nodes in rows.values() for path in nodes), default=0)
+    table = spark.createDataFrame(list(rows.items()), f"tool string, nodes {_NODES}")
+    sorted_texts = F.transform_values(
+        "nodes",
+        lambda _, node: F.struct(
+            node["place"].alias("place"),
             F.transform(
-                items,
-                lambda v, i: _faults(
-                    schema["items"], v, F.concat(at, F.lit("/"), i.cast("string"))
+                node["rules"],
+                lambda r: F.struct(
+                    r["keyword"].alias("keyword"),
+                    F.when(r["keyword"] == "enum", F.transform(r["texts"], canonical_json)).otherwise(r["texts"]).alias("texts"),
+                    r["number"].alias("number"),
+                    r["message"].alias("message"),
                 ),
-            )
+            ).alias("rules"),
+        ),
+    )
+    return table.withColumn("nodes", sorted_texts), depth, sum(len(repr(nodes)) for nodes in rows.values())
+
+
+def _children(node: Column, nodes: Column) -> Column:
+    """The parts of a value that its schema has rules for."""
+    value, at, path, place = node["value"], node["at"], node["path"], node["place"]
+    escaped = lambda k: F.replace(F.replace(F.replace(k, F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1")), F.lit("["), F.lit("~2"))
+
+    def child(at: Column, path: Column, number: Column, value: Column) -> Column:
+        value = F.coalesce(value, F.parse_json(F.lit("null")))
+        places = F.concat(place, F.array(number))
+        return F.struct(at.alias("at"), path.alias("path"), places.alias("place"), value.alias("value"))
+
+    def of_key(entry: Column) -> Column:
+        step = F.concat(path, F.lit("/"), escaped(entry["key"]))
+        return F.when(
+            F.map_contains_key(nodes, step),
+            child(F.concat(at, F.lit("/"), entry["key"]), step, F.element_at(nodes, step)["place"], entry["value"]),
+        )
+
+    entries = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+    step = F.concat(path, F.lit("[]"))
+    items = F.transform(
+        F.try_variant_get(value, "$", "array<variant>"),
+        lambda v, i: child(F.concat(at, F.lit("/"), i.cast("string")), step, i, v),
+    )
+    return F.when(variant_type(value) == "object", F.array_compact(F.transform(entries, of_key))).when(
+        F.map_contains_key(nodes, step), items
+    )
+
+
+def _broken(rule: Column, value: Column, kind: Column) -> Column:
+    """How many faults a value has against one rule."""
+    number, text = F.try_variant_get(value, "$", "double"), F.try_variant_get(value, "$", "string")
+    size = F.size(F.try_variant_get(value, "$", "array<variant>"))
+    keys = F.coalesce(F.json_object_keys(F.to_json(value)), F.array().cast("array<string>"))
+    texts, limit = rule["texts"], rule["number"]
+    whole = F.array_contains(texts, F.lit("integer")) & (kind == "number") & (number == F.floor(number))
+    holds = {
+        "type": F.array_contains(texts, kind) | whole,
+        "enum": F.array_contains(texts, F.to_json(value)),
+        "minimum": (kind != "number") | (number >= limit),
+        "maximum": (kind != "number") | (number <= limit),
+        "exclusiveMinimum": (kind != "number") | (number > limit),
+        "exclusiveMaximum": (kind != "number") | (number < limit),
+        "minLength": (kind != "string") | (F.length(text) >= limit),
+        "maxLength": (kind != "string") | (F.length(text) <= limit),
+        "pattern": (kind != "string") | F.regexp_like(text, F.get(texts, F.lit(0))),
+        "minItems": (kind != "array") | (size >= limit),
+        "maxItems": (kind != "array") | (size <= limit),
+        "required": (kind != "object") | F.array_contains(keys, F.get(texts, F.lit(0))),
+    }
+    strange = F.when(kind == "object", F.size(F.array_except(keys, texts))).otherwise(0)
+    count = F.when(rule["keyword"] == "additional", strange)
+    for keyword, good in holds.items():
+        count = count.when(rule["keyword"] == keyword, F.when(good, 0).otherwise(1))
+    return count.otherwise(0)
+
+
+def rule_faults(nodes: Column, arguments: Column, depth: int) -> Column:
+    """All faults of a variant against the compiled nodes of its schema, in the schema's order."""
+    root = F.array(
+        F.struct(
+            F.lit("").alias("at"), F.lit("").alias("path"), F.array().cast("array<int>").alias("place"), arguments.alias("value")
         )
-        found.append(F.when(kind == "array", inside).otherwise(none))
-    return F.concat(*found) if found else none
+    )
+
+    def node_faults(node: Column) -> Column:
+        shown = F.when(node["at"] == "", F.lit("/")).otherwise(node["at"])
+
+        def of_kind(kind: Column) -> Column:
+            told = F.transform(
+                F.element_at(nodes, node["path"])["rules"],
+                lambda r, i: F.array_repeat(
+                    F.struct(node["place"].alias("place"), i.alias("rule"), F.concat(shown, r["message"]).alias("fault")),
+                    _broken(r, node["value"], kind),
+                ),
+            )
+            return F.flatten(told)
+
+        return bind(variant_type(node["value"]), of_kind)
 
+    def levels(level: Column, left: int) -> Column:
+        own = F.flatten(F.transform(level, node_faults))
+        if not left:
+            return own
+        below = F.flatten(F.array_compact(F.transform(level, lambda n: _children(n, nodes))))
+        return F.concat(own, bind(below, lambda deeper: levels(deeper, left - 1)))
 
-def schema_faults(schema: dict, arguments: Column) -> Column:
-    """All faults of a variant against one parameter schema."""
-    return F.coalesce(_faults(schema, arguments, F.lit("")), F.array().cast("array<string>"))
+    return F.transform(F.array_sort(levels(root, depth)), lambda f: f["fault"])
 
 
 def gate_calls(
@@ -163,35 +245,19 @@ def gate_calls(
 ) -> DataFrame:
     """Add ``faults`` and ``valid`` to a table of calls with JSON arguments.
 
-    Distinct parameter schemas are compiled into expressions, ``SCHEMAS_PER_SCAN``
-    at a time, and every scan checks the calls of their tools, without a join or
-    shuffle. A schema with a keyword that cannot be checked is refused. Anything
-    but a JSON object counts as ``{}``.
+    Schemas become a table of rules by path, joined to the calls by tool: one scan and
+    one parse of the arguments, whatever the number of schemas. Rules up to
+    ``RULE_BYTES`` are broadcast; beyond that the join is an ordinary one, whose skewed keys
+    adaptive execution splits. A schema with a keyword that cannot be checked is refused.
+    Anything but a JSON object counts as ``{}``.
     """
-    for tool in tools:
-        check_schema(tool["function"]["parameters"], f" of {tool['function']['name']}")
-    prepared = spread(calls).withColumn("_args", tool_arguments(F.col(arguments)))
-    by_schema: dict[str, list[str]] = {}
-    for tool in tools:
-        spec = tool["function"]
-        by_schema.setdefault(json.dumps(spec["parameters"], sort_keys=True), []).append(spec["name"])
-    schemas = list(by_schema.items())
-    parts = [schemas[i : i + SCHEMAS_PER_SCAN] for i in range(0, len(schemas), SCHEMAS_PER_SCAN)] or [[]]
-    every = [n for names in by_schema.values() for n in names]
+    rules, depth, size = rule_table(calls.sparkSession, tools)
+    rules = rules.select(F.col("tool").alias("_tool"), F.col("nodes").alias("_nodes"))
+    met = spread(calls).join(F.broadcast(rules) if size <= RULE_BYTES else rules, F.col(name) == F.col("_tool"), "left")
     unknown = F.array(F.concat(F.lit("unknown tool: "), F.col(name)))
-    checked = None
-    for number, part in enumerate(parts):
-        faults = unknown
-        for text, names in reversed(part):
-            one = schema_faults(json.loads(text), F.col("_args"))
-            faults = F.when(F.col(name).isin(names), one).otherwise(faults)
-        mine = F.col(name).isin([n for _, names in part for n in names])
-        if number == 0:  # also takes the calls of no tool
-            mine = F.coalesce(mine | ~F.col(name).isin(every), F.lit(True))
-        rows = prepared if len(parts) == 1 else prepared.filter(mine)
-        rows = rows.withColumn("faults", faults)
-        checked = rows if checked is None else checked.unionByName(rows)
-    return checked.withColumn("valid", F.size("faults") == 0).drop("_args")
+    found = bind(tool_arguments(F.col(arguments)), lambda value: rule_faults(F.col("_nodes"), value, depth))
+    faults = F.when(F.col("_nodes").isNull(), unknown).otherwise(found)
+    return met.withColumn("faults", faults).withColumn("valid", F.size("faults") == 0).drop("_tool", "_nodes")
 
 
 def passing_examples(gated_calls: DataFrame, example: str) -> DataFrame:

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from siftwork.functions.jsons import strict_json
 from siftwork.operators import catalog, frames, leakage, messages, prompts, quality, replay, scoring
 from siftwork.plans.curation import curate, question_examples, question_prompts
 from siftwork.plans.discovery import discover, gated_tools
@@ -399,16 +400,52 @@ def test_schemas_that_cannot_be_checked_are_refused(spark, schema):
         _gated(spark, schema, [1])
 
 
-def test_many_tools_take_more_scans(spark, monkeypatch):
-    monkeypatch.setattr(catalog, "SCHEMAS_PER_SCAN", 2)
-    schemas = [{"type": "object", "required": ["k"], "properties": {"k": {"type": "integer", "minimum": m}}} for m in range(5)]
-    tools = [{"type": "function", "function": {"name": f"t{i}", "description": "d", "parameters": schemas[i % 5]}} for i in range(1000)]
-    calls = [(f"t{i}", '{"k": %s}' % ('"x"' if i % 2 else i % 7)) for i in range(0, 1003, 17)] + [("none", "{}"), (None, "{}")]
-    rows = catalog.gate_calls(spark.createDataFrame(calls, "name string, arguments string"), tools).collect()
-    assert len(rows) == len(calls)
-    for r in rows:
-        i = int(r["name"][1:]) if r["name"] and r["name"] != "none" else 1000
-        assert r["valid"] == (i < 1000 and i % 2 == 0 and i % 7 >= i % 5)
+def test_a_thousand_schemas_take_one_scan_and_one_parse(spark):
+    schemas = [{"type": "object", "required": ["k"], "properties": {"k": {"type": "integer", "minimum": m}}} for m in range(1000)]
+    tools = [{"type": "function", "function": {"name": f"t{m}", "description": "d", "parameters": p}} for m, p in enumerate(schemas)]
+    calls = [(f"t{m}", '{"k": %d}' % v) for m in range(1000) for v in (m - 1, m)] + [("no", "{}"), (None, "{}")]
+    gated = catalog.gate_calls(spark.createDataFrame(calls, "name string, arguments string"), tools)
+    plan = gated._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1 and "Union" not in plan and "Exchange hash" not in plan
+    faults = {(r["name"], r["arguments"]): r["faults"] for r in gated.collect()}
+    for m in range(1000):
+        assert faults[f"t{m}", '{"k": %d}' % (m - 1)] == [f"/k must be >= {m}"] and faults[f"t{m}", '{"k": %d}' % m] == []
+    assert faults["no", "{}"] == ["unknown tool: no"] and faults[None, "{}"] == [None]
+
+
+def test_faults_come_in_the_order_of_the_schema(spark):
+    inner = {"type": "object", "properties": {"z": {"type": "string"}, "a/b": {"enum": ["x", {"q": 1, "b": 2}]}}, "required": ["z", "y"]}
+    schema = {
+        "type": "object",
+        "properties": {"list": {"type": "array", "items": inner, "maxItems": 1}, "k[]": {"type": "null"}, "~": {"const": None}},
+        "required": ["gone"],
+        "additionalProperties": False,
+    }
+    tool = {"type": "function", "function": {"name": "t", "description": "d", "parameters": schema}}
+    value = {"more": 1, "even": 2, "~": 0, "k[]": [], "list": [{"a/b": {"b": 2, "q": 1}, "z": 1, "y": None}, "no", {"a/b": "y", "z": None}]}
+    row = catalog.gate_calls(spark.createDataFrame([("t", json.dumps(value))], "name string, arguments string"), [tool]).first()
+    assert row["faults"] == [
+        "/ must have required property 'gone'",
+        "/ must NOT have additional properties",
+        "/ must NOT have additional properties",
+        "/list must NOT have more than 1 items",
+        "/list/0/z must be string",
+        "/list/1 must be object",
+        "/list/2 must have required property 'y'",
+        "/list/2/z must be string",
+        "/list/2/a/b must be equal to one of the allowed values",
+        "/k[] must be null",
+        "/~ must be equal to constant",
+    ]
+
+
+def test_a_json_value_and_nothing_else(spark):
+    good = ["1", '"a"', " [1] ", '{"k": [1, 2]}', "null", '"end of the one value"', '["x", "end of the one value"]']
+    bad = ["", "1 2", "1,2", "1],[2", "1}", '{"k":1}]', "]", "[1", '1,"end of the one value"],[2', "1 //", "{} {}", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(good + bad)], "i int, t string")
+    found = {r["i"]: r["v"] for r in rows.select("i", F.to_json(strict_json(F.col("t"))).alias("v")).collect()}
+    assert [found[i] is not None for i in range(len(good + bad))] == [True] * len(good) + [False] * len(bad)
+    assert json.loads(found[3]) == {"k": [1, 2]}
 
 
 def test_deny_reason_follows_the_text(spark):
