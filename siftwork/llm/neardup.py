@@ -26,7 +26,9 @@ through ``join_groups``, and a document compared with many is dealt out in
 salted copies. Nothing but numbers of rows reaches the driver.
 
 Null and empty texts, and texts of white space, have an empty set and are linked
-with nothing. Rows that repeat a key count as documents of their own.
+with nothing. Rows that repeat a key, and rows of a null key, count as documents of
+their own: a row is known by its key and a hash of its text, and only rows equal in both
+share one answer. A component without any key has a null id.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,10 +89,9 @@ class Shingles:
 
 
 def signed_sets(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows (key, node, n, tokens, sketch); ``node`` is a 16-byte digest of the set."""
-    schema = T.StructType(
-        [df.schema[key], *T.StructType.fromDDL("node binary, n long, tokens array<int>, sketch binary").fields]
-    )
+    """Rows (key, mark, node, n, tokens, sketch); ``mark`` is a hash of the text, ``node`` a 16-byte digest of the set."""
+    added = "mark long, node binary, n long, tokens array<int>, sketch binary"
+    schema = T.StructType([df.schema[key], *T.StructType.fromDDL(added).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
@@ -111,15 +112,16 @@ def signed_sets(df: DataFrame, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(key),
+                    batch.column("mark"),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.array(size, pa.int64()),
                     tokens,
                     pa.array([row.tobytes() for row in sketch], pa.binary()),
                 ],
-                names=[key, "node", "n", "tokens", "sketch"],
+                names=[key, "mark", "node", "n", "tokens", "sketch"],
             )
 
-    return df.select(key, text).mapInArrow(run, schema)
+    return df.select(key, text, F.xxhash64(text).alias("mark")).mapInArrow(run, schema)
 
 
 def _may_link(na, sa, nb, sb) -> np.ndarray:
@@ -194,11 +196,18 @@ def confirmed(pairs: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame
 
 def near_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, n_shingles, component_id, kept), one per row of ``df``."""
+    return marked_components(df, key, text).drop("mark", "stands")
+
+
+def marked_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """As :func:`near_components`, with the ``mark`` of the text, and whether the row
+    ``stands`` for its component: of the rows with its least key the one of least mark."""
     scratch = Scratch(df.sparkSession)
     signed = scratch.store(signed_sets(df, key, text))
     nodes = scratch.store(
         signed.filter("n > 0").groupBy("node").agg(
             F.count("*").alias("copies"), F.min(key).alias("first"), F.first("n").alias("n"),
+            F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "mark")).alias("low"),
             F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"),
         )
     )
@@ -209,16 +218,16 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     paths = rooted.groupBy("path").agg(F.count("*").alias("m"), F.min(order).alias("low")).filter("m > 1")
     paths = scratch.store(paths.select("path", "m", F.col("low.node").alias("pivot")))
     met = scratch.store(join_groups(rooted, paths, "path", "m").select("path", "node", "pivot"))
-    involved = scratch.store(met.select("node").distinct().join(nodes, "node").select("node", "first", "n", "sketch"))
-    texts = scratch.store(
-        df.select(key, F.col(text).alias("text")).join(
-            involved.select("node", F.col("first").alias("_first")), F.col(key) == F.col("_first")
-        ).select("node", "text").dropDuplicates(["node"])
-    )
+    involved = scratch.store(met.select("node").distinct().join(nodes, "node").select("node", "low", "n", "sketch"))
+    wanted = involved.select("node", F.col("low.key").alias("_key"), F.col("low.mark").alias("_mark"))
+    same = F.col("key").eqNullSafe(F.col("_key")) & (F.col("mark") == F.col("_mark"))
+    whole = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    texts = scratch.store(whole.join(wanted, same).select("node", "text").dropDuplicates(["node"]))
+    involved = involved.drop("low")
     stars = met.filter("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("t"))
     links = scratch.store(confirmed(_star_pairs(stars, involved, scratch), texts, scratch))
     comps = components(links, scratch)
-    placed = met.select("path", "node").join(involved.drop("first"), "node")
+    placed = met.select("path", "node").join(involved, "node")
     for number in range(1, STARS):
         mixed = _mixed(_with_component(placed, comps), scratch)
         order = F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node", "n", "sketch", "comp")
@@ -257,18 +266,18 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     extra = confirmed(scratch.store(found.distinct()), texts, scratch)
     comps = components(links.unionByName(scratch.store(extra)), scratch)
     sizes = nodes.join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = scratch.store(sizes.select("node", "first", "copies", "root"))
-    lowest = sizes.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("k"))
-    named = scratch.store(join_groups(sizes, scratch.store(lowest), "root", "k").select("node", "copies", "component_id"))
-    rows = signed.select(key, "node", "n")
+    sizes = scratch.store(sizes.select("node", "first", "low", "copies", "root"))
+    lowest = sizes.groupBy("root").agg(F.min("first").alias("component_id"), F.min("low").alias("lowest"), F.count("*").alias("k"))
+    named = join_groups(sizes, scratch.store(lowest), "root", "k").select("node", "copies", "component_id", "lowest")
+    named = scratch.store(named)
+    rows = signed.select(key, "mark", "node", "n")
     linked = join_groups(rows.filter("n > 0"), named, "node", "copies")
-    alone = rows.filter("n = 0").withColumn("component_id", F.col(key))
-    answer = linked.select(key, "n", "component_id").unionByName(alone.select(key, "n", "component_id"))
+    stands = F.col("lowest.key").eqNullSafe(F.col(key)) & (F.col("lowest.mark") == F.col("mark"))
+    alone = rows.filter("n = 0").select(key, "mark", "n", F.col(key).alias("component_id"), F.lit(True).alias("stands"))
+    answer = linked.select(key, "mark", "n", "component_id", stands.alias("stands")).unionByName(alone)
+    is_first = F.col(key).eqNullSafe(F.col("component_id")).alias("kept")
     answer = scratch.store(
-        answer.select(
-            key, F.col("n").alias("n_shingles"), "component_id", F.col(key).eqNullSafe(F.col("component_id")).alias("kept")
-        ),
-        keep=True,
+        answer.select(key, F.col("n").alias("n_shingles"), "component_id", is_first, "mark", "stands"), keep=True
     )
     scratch.release()
     return answer
@@ -327,6 +336,18 @@ def _in_blocks(large: DataFrame, level: int) -> DataFrame:
 
 
 def without_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` that stand for their component, with all columns."""
-    kept = near_components(df, key, text).filter("kept").select(F.col(key).alias("_key")).distinct()
-    return df.join(kept, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    """One row of ``df`` for each component, with all columns.
+
+    Rows without words are linked with nothing and all stay.
+    """
+    found = marked_components(df, key, text).filter("stands")
+    sets = F.when(F.col("n_shingles") > 0, F.count("*")).otherwise(1).alias("_copies")
+    found = found.groupBy(F.col(key).alias("_key"), F.col("mark").alias("_mark"), "n_shingles").agg(sets)
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.xxhash64(text).eqNullSafe(F.col("_mark"))
+    met = df.join(found, same)
+    once = met.filter("_copies = 1").select(*df.columns)
+    if found.filter("_copies > 1").isEmpty():
+        return once
+    order = Window.partitionBy("_key", "_mark").orderBy(F.monotonically_increasing_id())
+    first = met.filter("_copies > 1").withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
+    return once.unionByName(first.select(*df.columns))

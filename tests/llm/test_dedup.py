@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+import corpus_pipeline
 from siftwork.llm import neardup, repeats
 from siftwork.llm.common import Scratch
 from siftwork.llm.components import components
@@ -176,3 +177,34 @@ def test_null_keys(spark):
     docs = documents(spark, [(None, base), (4, base), (5, prose(2, 100))])
     assert neardup.near_components(docs).count() == 3
     assert repeats.without_repeats(docs).count() == 3
+
+
+def test_near_duplicates_of_repeated_and_null_keys(spark):
+    """Rows that share a key are compared by their own texts, whichever comes first."""
+    for swap in (False, True):
+        rows = []
+        for i in range(6):
+            base = prose(100 + i, 120)
+            pair = [(i, prose(200 + i, 120)), (i, base)]
+            rows += (pair[::-1] if swap else pair) + [(50 + i, base + " end")]
+        rows += [(None, prose(300, 100)), (None, prose(300, 100) + " more"), (None, prose(301, 100)), (70, None), (70, None)]
+        rows += [(80, prose(302, 90))] * 3
+        docs = documents(spark, rows)
+        found = neardup.near_components(docs).collect()
+        assert len(found) == len(rows)
+        assert sorted(r["component_id"] for r in found if r["doc_id"] and 50 <= r["doc_id"] < 60) == list(range(6))
+        stay = sorted(((r["doc_id"], r["text"]) for r in neardup.without_near_duplicates(docs).collect()), key=str)
+        by_text = {t for _, t in stay}
+        for i in range(6):
+            assert prose(200 + i, 120) in by_text and prose(100 + i, 120) in by_text and prose(100 + i, 120) + " end" not in by_text
+        assert sum(k is None for k, _ in stay) == 2 and prose(301, 100) in by_text
+        assert stay.count((70, None)) == 2 and stay.count((80, prose(302, 90))) == 1
+
+
+def test_repeat_removal_in_the_pipeline_keeps_both_texts_of_a_key(spark, tmp_path):
+    shared = prose(400, 90)
+    rows = [(1, prose(401, 40) + " " + shared), (1, prose(402, 60)), (2, shared + " " + prose(403, 40)), (None, prose(404, 30))]
+    after = corpus_pipeline.repeated_strings(spark, documents(spark, rows), str(tmp_path)).collect()
+    texts = [r["text"] for r in after]
+    assert len(after) == 4 and prose(402, 60) in texts and prose(404, 30) in texts
+    assert all(shared not in t for t in texts) and any(t.startswith(prose(401, 40)) for t in texts)
