@@ -33,15 +33,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each near-duplicate group."""
+    """One document, of the smallest id, of each near-duplicate group."""
     return neardup.without_near_duplicates(docs)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the long strings that occur anywhere else."""
-    found = repeats.without_repeats(docs)
-    changed = found.filter("n_removed > 0").groupBy(F.col("doc_id").alias("_key")).agg(F.min("kept").alias("_kept"))
-    met = docs.join(changed, F.col("doc_id").eqNullSafe(F.col("_key")), "left")
+    """Every document, without the long strings that occur anywhere else.
+
+    A row is known by a hash of its key and text, and its length, as keys may repeat.
+    """
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    found = repeats.without_repeats(rows, key="_row").filter("n_removed > 0")
+    changed = found.groupBy(F.col("_row").alias("_key"), "n_bytes").agg(F.min("kept").alias("_kept"))
+    same = (F.col("_row") == F.col("_key")) & (F.octet_length("text") == F.col("n_bytes"))
+    met = rows.join(changed, same, "left")
     return _with_text(docs, met.withColumn("_kept", F.coalesce("_kept", "text")), "_kept")
 
 
