@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from siftwork.operators import telemetry
 from siftwork.plans.registry import query, table
 from siftwork.session import checkpoint_dir
+from siftwork.sources.readers import read_log_parts
 from siftwork.streaming import supervisor
 
 # Points made from events: a run per user, ordered by event. Losses are scaled
@@ -16,7 +17,7 @@ from siftwork.streaming import supervisor
 # with one event type and are flat for some users.
 _LOSS = "CASE WHEN event_type = 'error' THEN NULL WHEN k >= 80 THEN 'NaN'::DOUBLE WHEN k < 40 THEN value / 20 ELSE value END"
 _REWARD = "CASE WHEN event_type IN ('error', 'view') THEN CASE WHEN user_id % 3 = 0 THEN 0.5 + k / 2000.0 ELSE k / 100.0 END END"
-_POINTS = f"""pts AS MATERIALIZED (SELECT user_id AS run_id, event_id AS seq, event_id AS iter, {_LOSS} AS loss, {_REWARD} AS reward
+_POINTS = f"""pts AS MATERIALIZED (SELECT user_id AS run_id, event_id AS seq, event_id AS iter, {_LOSS} AS loss, {_REWARD} AS reward, false AS skipped
     FROM (SELECT *, regexp_extract(props, '\\d+')::INT AS k FROM events))"""
 
 
@@ -109,7 +110,7 @@ def smoothed_losses(spark, d):
 
 # One step of the supervisor per point of every run. The state is (bad, level,
 # rollbacks, rewards, ended); ``why`` is what the point triggers, if anything.
-_SUPERVISE = f"""WITH RECURSIVE {_POINTS},
+_STEPS = """
     l AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY seq) AS n FROM pts),
     s AS (
         SELECT DISTINCT run_id, 0::BIGINT AS n, -1::BIGINT AS seq, 0 AS bad, NULL::DOUBLE AS level, 0 AS rollbacks, []::DOUBLE[] AS rewards, false AS ended, NULL::VARCHAR AS kind, NULL::VARCHAR AS reason
@@ -120,16 +121,17 @@ _SUPERVISE = f"""WITH RECURSIVE {_POINTS},
             CASE WHEN why IN ('nan', 'spike') THEN NULL WHEN loss IS NULL OR isnan(loss) OR why IS NOT NULL THEN level WHEN level IS NULL THEN loss ELSE 0.9::DOUBLE * level + 0.1::DOUBLE * loss END,
             CASE WHEN why IN ('nan', 'spike') THEN rollbacks + 1 ELSE rollbacks END,
             CASE WHEN why IN ('nan', 'spike') THEN []::DOUBLE[] ELSE rw END,
-            coalesce(why = 'variance' OR (why IN ('nan', 'spike') AND rollbacks >= 2), false),
-            CASE WHEN why = 'variance' THEN 'grpo.collapsed' WHEN why IS NULL THEN NULL WHEN rollbacks >= 2 THEN 'abort' ELSE 'rollback' END,
-            CASE WHEN why = 'variance' OR why IS NULL OR rollbacks < 2 THEN why ELSE why || '.unrecoverable' END
-        FROM (SELECT *, CASE WHEN reward IS NOT NULL AND len(rw) = 10 AND list_var_pop(rw) < 0.01 THEN 'variance'
+            coalesce(why IN ('variance', 'skipped') OR (why IN ('nan', 'spike') AND rollbacks >= 2), false),
+            CASE WHEN why IN ('variance', 'skipped') THEN 'grpo.collapsed' WHEN why IS NULL THEN NULL WHEN rollbacks >= 2 THEN 'abort' ELSE 'rollback' END,
+            CASE WHEN why IN ('variance', 'skipped') OR why IS NULL OR rollbacks < 2 THEN why ELSE why || '.unrecoverable' END
+        FROM (SELECT *, CASE WHEN skipped THEN 'skipped' WHEN reward IS NOT NULL AND len(rw) = 10 AND list_var_pop(rw) < 0.01 THEN 'variance'
                 WHEN isnan(loss) AND bad >= 1 THEN 'nan'
                 WHEN loss IS NOT NULL AND NOT isnan(loss) AND iter > 20 AND loss > level * 10 THEN 'spike' END AS why
-            FROM (SELECT l.run_id, l.n, l.seq, l.iter, l.loss, l.reward, s.bad, s.level, s.rollbacks,
+            FROM (SELECT l.run_id, l.n, l.seq, l.iter, l.loss, l.reward, l.skipped, s.bad, s.level, s.rollbacks,
                 CASE WHEN l.reward IS NULL THEN s.rewards ELSE list_append(s.rewards, l.reward)[-10:] END AS rw
                 FROM s JOIN l ON l.run_id = s.run_id AND l.n = s.n + 1 WHERE NOT s.ended)))
     SELECT run_id, seq, kind, reason, CASE WHEN kind = 'rollback' THEN rollbacks END AS next_rollback_index FROM s WHERE kind IS NOT NULL"""
+_SUPERVISE = f"WITH RECURSIVE {_POINTS}, {_STEPS}"
 
 
 @query("supervised_runs", _SUPERVISE)
@@ -160,6 +162,58 @@ def supervised_stream(spark, d):
     return spark.read.schema(schema).parquet(f"{base}/out").withColumn("run_id", F.col("run_id").cast("bigint"))
 
 
+# Text logs made from events: a run per fortieth of the users, in three parts by event.
+# Errors with high k are skip markers, views reward lines, sign-ups say nothing.
+_PARTS = """cut AS (SELECT user_id % 40 AS run, event_id * 3 // (SELECT max(event_id) + 1 FROM events) AS part, *,
+        regexp_extract(props, '\\d+')::INT AS k FROM events),
+    numbered AS (SELECT *, part * 4294967296 + row_number() OVER (PARTITION BY run, part ORDER BY event_id) - 1 AS seq FROM cut),
+    pts AS MATERIALIZED (SELECT run::VARCHAR AS run_id, seq, CASE WHEN event_type = 'error' AND k >= 97 THEN -1 ELSE event_id END AS iter,
+        CASE WHEN event_type IN ('error', 'view') THEN NULL WHEN k >= 90 THEN 'NaN'::DOUBLE ELSE (value + 20) / 20 END AS loss,
+        CASE WHEN event_type = 'view' THEN CASE WHEN run % 3 = 0 THEN 0.5 + k / 2000.0 ELSE k / 100.0 END END AS reward,
+        event_type = 'error' AND k >= 97 AS skipped
+        FROM numbered WHERE event_type <> 'signup' AND (event_type <> 'error' OR k >= 97))"""
+
+
+def _text_logs(spark, d):
+    events = table(spark, d, "events", "event_id", "user_id", "event_type", "value", "props")
+    k = F.regexp_extract("props", r"\d+", 0).cast("int")
+    last = events.agg(F.max("event_id")).first()[0]
+    run = F.col("user_id") % 40
+    step, loss = F.col("event_id").cast("string"), ((F.col("value") + 20) / 20).cast("string")
+    reward = F.when(run % 3 == 0, 0.5 + k / 2000.0).otherwise(k / 100.0).cast("string")
+    line = (
+        F.when((F.col("event_type") == "error") & (k >= 97), F.lit("grpo.skipped no reward"))
+        .when(F.col("event_type") == "error", F.lit("Traceback"))
+        .when(F.col("event_type") == "view", F.concat(F.lit("Iter "), step, F.lit(": Val loss 1.0, Val total_rewards_mean "), reward))
+        .when(F.col("event_type") == "signup", F.lit("chatter"))
+        .otherwise(F.concat(F.lit("Iter "), step, F.lit(": Train loss "), F.when(k >= 90, F.lit("nan")).otherwise(loss)))
+    )
+    part = F.floor(F.col("event_id") * 3 / (last + 1))
+    return events.select(run.alias("run"), part.alias("part"), "event_id", line.alias("value"))
+
+
+@query("supervised_text_logs", f"WITH RECURSIVE {_PARTS}, {_STEPS}")
+def supervised_text_logs(spark, d):
+    """Raw lines as text files in parts; the later parts arrive first, and the stream is restarted."""
+    base = f"{checkpoint_dir(spark)}/logs-{uuid.uuid4().hex}"
+    lines = _text_logs(spark, d)
+    for arriving in ("part > 0", "part < 2"):
+        chosen = lines.filter(arriving).repartition("run", "part").sortWithinPartitions("run", "part", "event_id")
+        chosen.drop("event_id").write.mode("append").partitionBy("run", "part").text(f"{base}/in")
+        parts = read_log_parts(spark, f"{base}/in", pattern=r"run=(\d+)/part=(\d+)/[^/]+$")
+        signals = supervisor.supervise_parts(supervisor.part_points(parts, "grpo"))
+        running = (
+            signals.writeStream.format("parquet")
+            .option("path", f"{base}/out")
+            .option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        running.awaitTermination()
+    schema = "run_id string, seq bigint, kind string, reason string, next_rollback_index int"
+    return spark.read.schema(schema).parquet(f"{base}/out")
+
+
 @query(
     "latest_checkpoints",
     """SELECT user_id AS run_id, max(event_id) AS iter, lpad(max(event_id)::VARCHAR, 7, '0') || '_adapters.safetensors' AS checkpoint

@@ -125,6 +125,27 @@ def read_log_stream(spark: SparkSession, folder: str, max_files: int = 100) -> D
     return reader.option("maxFilesPerTrigger", max_files).json(folder)
 
 
+LOG_PART = r"([^/]+?)(?:\.(\d+))?\.[^./]+$"  # run.log, or run.0.log, run.1.log, ...
+
+
+def read_log_parts(spark: SparkSession, folder: str, max_files: int = 100, pattern: str = LOG_PART) -> DataFrame:
+    """Streaming text logs: ``(run_id, part, lines)``, a row per file.
+
+    The run and the number of the part (0 if none) are the groups of ``pattern`` in the
+    file's path. A part is read whole, so its lines keep their order; rotate logs
+    into parts that fit a task. Spark does not list files of no bytes: a part without
+    lines needs a line feed, or the parts after it wait.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    files = reader.text(folder, wholetext=True, recursiveFileLookup=True)
+    path = F.col("_metadata.file_path")
+    return files.select(
+        F.regexp_extract(path, pattern, 1).alias("run_id"),
+        F.coalesce(F.regexp_extract(path, pattern, 2).try_cast("bigint"), F.lit(0)).alias("part"),
+        F.split("value", r"\r\n|\n|\r").alias("lines"),
+    )
+
+
 def read_log_files(spark: SparkSession, path: str) -> DataFrame:
     """Batch log lines, one file per run: ``(run_id, seq, value)``."""
     numbered = dense_ordinal(read_lines(spark, path), "file", "block", "at", out="seq")

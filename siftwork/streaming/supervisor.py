@@ -1,8 +1,14 @@
 """The supervisor as a stateful stream: one small state per run.
 
-Input is parsed log lines ``(run_id, seq, value)`` in any number of files;
-lines of a run are taken by ``seq`` within each micro-batch. The state of a run
-is a handful of numbers, whatever its length, kept by the RocksDB state store.
+The state of a run is a handful of numbers, whatever its length, kept by the
+RocksDB state store. Input comes in one of two forms:
+
+* text logs in numbered parts (:func:`supervise_parts`): parts may arrive in any
+  order and more than once. A part that is early waits in the run's state until
+  the parts before it are there; a part that was applied is passed over. One part at
+  a time is in memory.
+* single points with a ``seq`` (:func:`supervise_stream`): those of a run are sorted within
+  each micro-batch, and a late one fails the stream.
 """
 
 from __future__ import annotations
@@ -120,6 +126,95 @@ class Supervisor(StatefulProcessor):
         pass
 
 
+PART_SHIFT = 32  # a point's seq is its part's number above this bit, and its line below
+_ARRAYS = {"line": "bigint", "iter": "bigint", "loss": "double", "has_loss": "boolean", "reward": "double", "has_reward": "boolean", "skipped": "boolean"}
+_PART = ", ".join(f"{name} array<{kind}>" for name, kind in _ARRAYS.items())
+
+
+class PartSupervisor(StatefulProcessor):
+    """Applies :func:`advance` to the parts of each run in the order of their numbers."""
+
+    def __init__(self, limits: Limits = Limits()):
+        self.limits = limits
+
+    def init(self, handle) -> None:
+        self.store = handle.getValueState("run", _STATE)
+        self.order = handle.getValueState("order", "next BIGINT")
+        self.early = handle.getMapState("early", "part BIGINT", _PART)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        state = self.store.get() if self.store.exists() else FRESH
+        state = (state[0], state[1], state[2], list(state[3] or []), state[4])
+        due = self.order.get()[0] if self.order.exists() else 0
+        found: list[tuple] = []
+        for frame in rows:
+            for part, *columns in zip(frame["part"], *(frame[name] for name in _ARRAYS)):
+                if part < due:
+                    continue
+                if part > due:
+                    self.early.updateValue((int(part),), tuple([x.item() if hasattr(x, "item") else x for x in c] for c in columns))
+                    continue
+                state = self._apply(key[0], due, columns, state, found)
+                due += 1
+                while self.early.containsKey((due,)):
+                    state = self._apply(key[0], due, self.early.getValue((due,)), state, found)
+                    self.early.removeKey((due,))
+                    due += 1
+        self.order.update((due,))
+        self.store.update(state)
+        if found:
+            frame = pd.DataFrame(found, columns=["run_id", "seq", "kind", "reason", "next_rollback_index"])
+            frame["next_rollback_index"] = frame["next_rollback_index"].astype("Int32")
+            yield frame
+
+    def _apply(self, run: str, part: int, columns, state: tuple, found: list[tuple]) -> tuple:
+        for line, iteration, loss, has_loss, reward, has_reward, skipped in zip(*columns):
+            state, signal = advance(
+                state, int(iteration), float(loss) if has_loss else None, float(reward) if has_reward else None, bool(skipped), self.limits
+            )
+            if signal:
+                found.append((run, (part << PART_SHIFT) + int(line), *signal))
+        return state
+
+    def close(self) -> None:
+        pass
+
+
+def part_points(parts: DataFrame, mode: str = "sft", **options) -> DataFrame:
+    """Parts ``(run_id, part, lines)`` to the points of their lines, as arrays side by side.
+
+    Skip-marker lines count in mode ``grpo`` only, and where the line does not parse.
+    """
+
+    def point(line, number):
+        skipped = line.startswith(SKIP_MARKER) if mode == "grpo" else F.lit(False)
+        parsed = parse_line(line, **options)
+        return F.struct(number.cast("bigint").alias("line"), parsed.alias("p"), (skipped & parsed.isNull()).alias("skipped"))
+
+    found = F.filter(F.transform("lines", point), lambda x: x["p"].isNotNull() | x["skipped"])
+    values = {
+        "line": lambda x: x["line"],
+        "iter": lambda x: F.coalesce(x["p"]["iter"], F.lit(-1)),
+        "loss": lambda x: F.coalesce(x["p"]["loss"], F.lit(0.0)),
+        "has_loss": lambda x: x["p"]["loss"].isNotNull(),
+        "reward": lambda x: F.coalesce(x["p"]["reward"], F.lit(0.0)),
+        "has_reward": lambda x: x["p"]["reward"].isNotNull(),
+        "skipped": lambda x: x["skipped"],
+    }
+    staged = parts.select("run_id", "part", found.alias("found"))
+    return staged.select(
+        "run_id", "part", *[F.transform("found", get).cast(f"array<{_ARRAYS[name]}>").alias(name) for name, get in values.items()]
+    )
+
+
+def supervise_parts(parts: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Signals of a stream of :func:`part_points`; ``seq`` is the part's number and the line in it."""
+    parts.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    return parts.groupBy("run_id").transformWithStateInPandas(
+        PartSupervisor(limits), outputStructType=_SIGNAL, outputMode="Append", timeMode="None"
+    )
+
+
 def log_points(lines: DataFrame, mode: str = "sft", **options) -> DataFrame:
     """``(run_id, seq, iter, loss, reward, skipped)`` of log lines, streaming or batch.
 

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from siftwork.operators import telemetry
 from siftwork.operators.telemetry import Limits
+from siftwork.sources.readers import read_log_parts
 from siftwork.streaming.supervisor import (
-    FRESH, advance, log_points, signal_points_stream, stage_stream, supervise_stream,
+    FRESH, advance, log_points, part_points, signal_points_stream, stage_stream, supervise_parts, supervise_stream,
 )
 
 NAN = float("nan")
@@ -159,6 +160,47 @@ def test_stream_equals_batch_over_two_restarts(spark, tmp_path):
     assert got == _twin(rows) == _supervise(spark, rows)
 
 
+def _log_lines(rng, n):
+    kinds = ["Iter {i}: Train loss 1.{i}", "Iter {i}: Train loss 1.0", "Iter {i}: Train loss nan", "Iter {i}: Train loss 40.0", "noise"]
+    return [rng.choice(kinds).format(i=i) for i in range(n)]
+
+
+def test_parts_in_any_order_equal_the_batch(spark, tmp_path):
+    """Parts arrive shuffled over restarts, one twice and one empty; a run skips, another keeps its name's dots."""
+    rng = random.Random(12)
+    runs = {name: [_log_lines(rng, 15) for _ in range(5)] for name in ("a", "b.v1", "c")}
+    runs["b.v1"][2] = []
+    runs["c"][1][3] = "grpo.skipped reward"
+    runs["c"][1][4] = "Iter 9: Train loss 1.0 grpo.skipped"
+    rows = []
+    for name, parts in runs.items():
+        for number, lines in enumerate(parts):
+            rows += [(name, (number << 32) + i, line) for i, line in enumerate(lines)]
+    points = log_points(spark.createDataFrame(rows, "run_id string, seq bigint, value string"), "grpo")
+    expected = _twin([tuple(r) for r in points.orderBy("run_id", "seq").collect()])
+    (tmp_path / "in").mkdir()
+    for number, batch in enumerate(([4, 1], [3, 0], [2, 1])):
+        for name, parts in runs.items():
+            for part in batch:
+                again = f"more{number}" if number == 2 and part == 1 else ""
+                folder = tmp_path / "in" / again
+                folder.mkdir(exist_ok=True)
+                text = "\r\n".join(parts[part]) if part % 2 else "\n".join([*parts[part], "\n"])
+                (folder / f"{name}.{part}.log").write_bytes(text.encode())
+        parts = read_log_parts(spark, str(tmp_path / "in"), max_files=4)
+        started = (
+            supervise_parts(part_points(parts, "grpo"))
+            .writeStream.format("parquet")
+            .option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "checkpoint"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        started.awaitTermination()
+    assert _signals(spark.read.parquet(str(tmp_path / "out"))) == expected and len(expected) >= 4
+    assert any(s[3] == "skipped" for s in expected)
+
+
 def test_skip_lines_only_in_reward_mode(spark):
     lines = spark.createDataFrame(
         [("r", 0, "grpo.skipped reason=zero"), ("r", 1, "Iter 1: Train loss 1.0"), ("r", 2, "noise")],
