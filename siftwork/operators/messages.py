@@ -53,6 +53,11 @@ def numbered_calls(calls: Column, prefix: Column) -> Column:
     )
 
 
+def expected_calls(calls: Column, index: Column) -> Column:
+    """Expected calls of an evaluation item, in order, as ``eval_call_{index}_{k}``."""
+    return numbered_calls(calls, F.concat(F.lit("eval_call_"), index.cast("string"), F.lit("_")))
+
+
 def qa_messages(reply: Column, index: Column, system: Column) -> Column:
     """Messages of a question reply, with a stub tool message per call."""
     opening = F.array(message("system", system), message("user", reply["question"]))

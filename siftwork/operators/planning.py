@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.functions.draws import pick, with_draws
+from siftwork.functions.jsons import strict_json
+from siftwork.functions.text import bind
 from siftwork.operators.ordering import dense_ordinal
 
 # Persona ids in drawing order, with label and voice. ``{product}``
@@ -229,19 +231,57 @@ BOUNDARY = {
 BOUNDARY_INPUTS = 10
 
 
+def _boundary_table() -> Column:
+    return F.create_map(
+        *[part for name, values in BOUNDARY.items() for part in (F.lit(name), F.array(*[F.lit(v) for v in values]))]
+    )
+
+
+def nested_boundary_inputs(tools: DataFrame, depth: int = 8) -> DataFrame:
+    """Ten JSON argument objects per tool from ``(tool, parameters)``, a JSON schema.
+
+    The schema is walked: a property that is itself an object takes the i-th input of its
+    own properties. Keys come in sorted order; an unknown type gives null, and a schema that
+    does not parse, or has no properties, the empty object. Objects below ``depth`` levels fail the job.
+    Returns ``(tool, input_no, arguments)``. A projection: no shuffle.
+    """
+    table = _boundary_table()
+
+    def value_of(schema: Column, number: Column, left: int) -> Column:
+        kind = F.try_variant_get(schema, "$.type", "string")
+        plain = F.coalesce(F.get(F.try_element_at(table, kind), number), F.lit("null"))
+        return F.when(kind == "object", object_of(schema, number, left)).otherwise(plain)
+
+    def object_of(schema: Column, number: Column, left: int) -> Column:
+        if not left:
+            return F.raise_error(F.lit(f"objects are nested deeper than {depth}")).cast("string")
+        properties = F.map_entries(F.try_variant_get(schema, "$.properties", "map<string,variant>"))
+        members = F.transform(
+            F.array_sort(F.transform(properties, lambda p: p["key"])),
+            lambda k: F.concat(F.to_json(k.cast("variant")), F.lit(":"), value_of(found(schema, k), number, left - 1)),
+        )
+        return F.concat(F.lit("{"), F.coalesce(F.array_join(members, ","), F.lit("")), F.lit("}"))
+
+    def found(schema: Column, key: Column) -> Column:
+        return F.element_at(F.try_variant_get(schema, "$.properties", "map<string,variant>"), key)
+
+    numbers = F.sequence(F.lit(0), F.lit(BOUNDARY_INPUTS - 1))
+    inputs = bind(
+        strict_json(F.col("parameters")),
+        lambda schema: F.transform(
+            numbers, lambda i: F.struct(i.alias("input_no"), object_of(schema, i, depth).alias("arguments"))
+        ),
+    )
+    return tools.select("tool", F.inline(inputs))
+
+
 def boundary_inputs(params: DataFrame) -> DataFrame:
     """Ten JSON argument objects per tool from ``(tool, param, type)``.
 
     Input i takes the i-th fixed value of each declared type; an unknown type
     gives null. Returns ``(tool, input_no, arguments)``.
     """
-    table = F.create_map(
-        *[
-            part
-            for name, values in BOUNDARY.items()
-            for part in (F.lit(name), F.array(*[F.lit(v) for v in values]))
-        ]
-    )
+    table = _boundary_table()
     rows = params.withColumn("input_no", F.explode(F.sequence(F.lit(0), F.lit(BOUNDARY_INPUTS - 1))))
     value = F.coalesce(F.get(F.try_element_at(table, F.col("type")), F.col("input_no")), F.lit("null"))
     member = F.concat(F.to_json(F.col("param").cast("variant")), F.lit(":"), value)

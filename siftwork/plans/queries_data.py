@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from siftwork.functions import minhash, text
 from siftwork.functions.draws import hash_score, uniform, with_draws
 from siftwork.functions.vectors import agreement, cosine
-from siftwork.operators import chunking, dedup, ordering, planning, prompts, splitting, vectors
+from siftwork.operators import catalog, chunking, dedup, messages, ordering, planning, prompts, splitting, vectors
 from siftwork.plans.checks import (
     answer_sql,
     greedy_sql,
@@ -275,21 +275,26 @@ def question_prompts(spark, d):
     )
 
 
-_RETRY = "idx % 5 = 0"
+_LONGEST = 2000  # a reply that quotes more of its context is refused by the gate
 
 
 @query(
     "retry_prompts",
     f"""WITH {_QA_PLAN} SELECT sized.idx AS index, CASE WHEN sized.idx % 3 < 2 THEN (sized.idx % 3 + 1)::INT END AS attempt,
-    CASE WHEN sized.idx % 3 < 2 THEN length(context) + {len(prompts.RETRY_QA) - len('{reason}') + len('bad call')} END AS grown
-    FROM sized JOIN got USING (idx) WHERE sized.{_RETRY}""",
+    CASE WHEN sized.idx % 3 < 2 THEN length(context) + {len(prompts.RETRY_QA) - len('{reason}') + len(f'/quoted must be <= {_LONGEST}')} END AS grown
+    FROM sized JOIN got USING (idx) WHERE length(context) > {_LONGEST}""",
 )
 def retry_prompts(spark, d):
+    """Every reply is gated by its tool's schema; what the gate refuses is asked again with the fault."""
     plan = prompts.with_context(_qa_plan(spark, d), _train_docs(spark, d, "text"), "doc_id", "text")
     plan = cut(plan)  # the prompt table is handed to the generator, so it is stored once
     first = plan.select("index", F.lit("system").alias("system"), F.col("context").alias("user"))
-    rejected = plan.filter("index % 5 = 0").select(
-        "index", (F.col("index") % 3).cast("int").alias("attempt"), F.lit("bad call").alias("reason")
+    schema = {"type": "object", "properties": {"quoted": {"type": "integer", "maximum": _LONGEST}}, "required": ["quoted"]}
+    tool = {"type": "function", "function": {"name": "answer", "description": "answer", "parameters": schema}}
+    reply = F.to_json(F.struct(F.length("context").alias("quoted")))
+    gated = catalog.gate_calls(plan.select("index", F.lit("answer").alias("name"), reply.alias("arguments")), [tool])
+    rejected = gated.filter("not valid").select(
+        "index", (F.col("index") % 3).cast("int").alias("attempt"), F.array_join("faults", "; ").alias("reason")
     )
     again, out = prompts.retry_round(first, rejected)
     return again.select("index", "attempt", F.length("user").cast("bigint").alias("grown")).unionByName(
@@ -489,6 +494,59 @@ def boundary_inputs(spark, d):
     return planning.boundary_inputs(params)
 
 
+# Schemas three objects deep, with types that vary from part to part.
+def _nested_sql():
+    def value(step):
+        return f"coalesce(({_BOUNDARY})[[{_TYPE_LIST}][(p_partkey + {step}) % {len(_TYPES)} + 1]][i + 1], 'null')"
+
+    inner = f"""'{{"c":' || {value(2)} || '}}'"""
+    middle = f"""'{{"b":' || {value(1)} || ',"inner":' || {inner} || '}}'"""
+    return f"""'{{"a":' || {value(0)} || ',"outer":' || {middle} || '}}'"""
+
+
+@query(
+    "nested_boundary_inputs",
+    f"SELECT p_partkey AS tool, i::INT AS input_no, {_nested_sql()} AS arguments FROM part, range(0, 10) r(i)",
+)
+def nested_boundary_inputs(spark, d):
+    kinds = F.array(*[F.lit(t) for t in _TYPES])
+
+    def member(name, step):
+        kind = F.element_at(kinds, ((F.col("p_partkey") + step) % len(_TYPES) + 1).cast("int"))
+        return F.concat(F.lit(f'"{name}": {{"type": "'), kind, F.lit('"}'))
+
+    def nest(name, members):
+        return F.concat(F.lit(f'"{name}": {{"type": "object", "properties": {{'), members, F.lit("}}"))
+
+    comma = F.lit(", ")
+    inner = nest("inner", member("c", 2))
+    outer = nest("outer", F.concat(inner, comma, member("b", 1)))
+    schema = F.concat(F.lit('{"type": "object", "properties": {'), outer, comma, member("a", 0), F.lit("}}"))
+    parts = table(spark, d, "part", "p_partkey")
+    return planning.nested_boundary_inputs(parts.select(F.col("p_partkey").alias("tool"), schema.alias("parameters")))
+
+
+@query(
+    "eval_expected_calls",
+    f"""WITH {_EVAL_PLAN}, named AS (SELECT idx, kind, CASE WHEN tools = '' THEN []::VARCHAR[] ELSE string_split(tools, ',') END AS names FROM plan)
+    SELECT 'eval-' || kind || '-' || idx AS item_id, 'eval_call_' || idx || '_' || (k - 1) AS call_id, names[k] AS name,
+        CASE WHEN (idx + k) % 3 = 0 THEN '{{}}' ELSE '{{"k":' || idx || '}}' END AS arguments
+    FROM (SELECT *, unnest(range(1, len(names) + 1)) AS k FROM named)""",
+)
+def eval_expected_calls(spark, d):
+    """Replies name the planned tools; every third call has arguments that do not parse."""
+    index = F.col("index")
+
+    def reply(name, i):
+        good = F.concat(F.lit('{ "k": '), index.cast("string"), F.lit(" }"))
+        raw = F.when((index + i + 1) % 3 == 0, F.lit("{ k")).otherwise(good)
+        return F.struct(name.alias("name"), raw.alias("arguments"))
+
+    plan = _eval_plan(spark, d).withColumn("calls", F.transform("tools", reply))
+    items = plan.select("item_id", F.explode(messages.expected_calls(F.col("calls"), index)).alias("call"))
+    return items.select("item_id", F.col("call.id").alias("call_id"), "call.function.name", "call.function.arguments")
+
+
 # --- chunks and text -------------------------------------------------------------
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,3 +137,29 @@ def test_flat_fingerprint_of_any_number_of_ids(spark):
     assert tuple(row) == (5, hashlib.sha256(f"{splitting.SALT}:,a,b,b".encode()).hexdigest())
     none = splitting.split_fingerprint(odd.filter("false"), "id").first()
     assert tuple(none) == (0, hashlib.sha256(f"{splitting.SALT}:".encode()).hexdigest())
+
+
+def test_nested_boundary_inputs_equal_a_walk(spark):
+    schemas = [
+        {"type": "object", "properties": {"s": {"type": "string"}, "o": {"type": "object", "properties": {"n": {"type": "number"}, "p": {"type": "object", "properties": {"b": {"type": "boolean"}, "d": {"type": "date"}}}}}}},
+        {"type": "object", "properties": {'q"uote': {"type": "integer"}, "list": {"type": "array", "items": {"type": "object"}}, "bare": {"type": "object"}}},
+        {"type": "object"},
+    ]
+
+    def walk(schema, i):
+        out = {}
+        for key, inner in schema.get("properties", {}).items():
+            kind = inner.get("type")
+            values = planning.BOUNDARY.get(kind)
+            out[key] = walk(inner, i) if kind == "object" else json.loads(values[i]) if values else None
+        return out
+
+    rows = [(n, json.dumps(s)) for n, s in enumerate(schemas)] + [(8, "no json"), (9, None)]
+    found = planning.nested_boundary_inputs(spark.createDataFrame(rows, "tool int, parameters string")).collect()
+    assert len(found) == 50
+    for r in found:
+        assert json.loads(r["arguments"]) == (walk(schemas[r["tool"]], r["input_no"]) if r["tool"] < 3 else {})
+    deep = spark.createDataFrame(rows[:1], "tool int, parameters string")
+    assert planning.nested_boundary_inputs(deep, 3).count() == 10
+    with pytest.raises(Exception, match="deeper"):
+        planning.nested_boundary_inputs(deep, 2).collect()
