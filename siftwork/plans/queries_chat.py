@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from siftwork.functions import jsons
 from siftwork.functions.draws import hash_score
 from siftwork.operators import catalog, frames, leakage, messages, ordering, quality, replay, scoring
+from siftwork.plans import discovery
 from siftwork.plans.checks import answer_sql, greedy_sql, score_sql, text_sql, trim_sql, uniform_sql
 from siftwork.plans.curation import curate
 from siftwork.plans.queries_data import PRODUCT, SALT, TOOLS
@@ -472,6 +473,89 @@ def capped_catalogue(spark, d):
     return catalog.final_catalogue(chosen, "p_partkey").select("p_partkey", "p_name")
 
 
+# Catalogues of 18 parts each: two thirds are first candidates, the others wait for a retry. All five
+# gates judge real schemas, bodies and logs, which the size of a part decides.
+_FALLBACK = ["list_tables", "describe_table", "run_query", "explain_query", "list_roles", "list_buckets", "read_logs", "get_time"]
+_NORM = "regexp_replace(lower(tool), '[_-]', '', 'g')"
+_FUNNEL = f"""p AS MATERIALIZED (SELECT p_partkey // 18 AS catalogue, p_partkey % 3 = 0 AS later, p_size,
+        (p_partkey % 3 = 0)::BIGINT * 1000000000 + p_partkey AS ordinal,
+        p_partkey // 18 || '/' || CASE p_partkey % 2 WHEN 0 THEN 'Tool_' ELSE 'tool' END || p_partkey % 17 AS tool FROM part),
+    g AS MATERIALIZED (SELECT *, {_NORM} AS norm, CASE WHEN p_size % 10 = 0 THEN 'schema' WHEN p_size % 9 = 1 THEN 'parse' WHEN p_size % 16 = 2 THEN 'sandbox'
+        WHEN p_size % 7 = 3 THEN 'fuzz' WHEN p_size % 11 = 5 OR p_size % 6 = 4 THEN 'trajectory' END AS gate FROM p),
+    one AS MATERIALIZED (SELECT * FROM g WHERE NOT later QUALIFY row_number() OVER (PARTITION BY norm ORDER BY ordinal) = 1),
+    n1 AS (SELECT catalogue, count(*) FILTER (gate IS NULL) AS n, count(*) AS m FROM one GROUP BY 1),
+    both_ AS MATERIALIZED (SELECT g.* FROM g JOIN n1 USING (catalogue) WHERE n BETWEEN 4 AND 7 QUALIFY row_number() OVER (PARTITION BY norm ORDER BY ordinal) = 1),
+    two AS (SELECT * FROM both_ WHERE tool NOT IN (SELECT tool FROM one WHERE gate IS NULL)),
+    judged AS MATERIALIZED (SELECT 1 AS round, * FROM one UNION ALL SELECT 2, * FROM two),
+    n2 AS MATERIALIZED (SELECT n1.catalogue, n, m, coalesce(k, 0) AS k, CASE WHEN coalesce(k, 0) < 4 THEN 'fallback' WHEN n < 8 THEN 'retry' ELSE 'straight' END AS branch
+        FROM n1 LEFT JOIN (SELECT catalogue, count(*) AS k FROM judged WHERE gate IS NULL GROUP BY 1) USING (catalogue))"""
+
+
+def _discovered(spark, d):
+    key, size = F.col("p_partkey"), F.col("p_size")
+    name = F.concat(F.when(key % 2 == 0, F.lit("Tool_")).otherwise(F.lit("tool")), (key % 17).cast("string"))
+    schema = '{"type": "%s", "properties": {"k": {"type": "integer"}}}'
+    tools = table(spark, d, "part", "p_partkey", "p_size", "p_name").select(
+        F.floor(key / 18).alias("catalogue"),
+        (key % 3 == 0).alias("later"),
+        ((key % 3 == 0).cast("bigint") * 1000000000 + key).alias("ordinal"),
+        F.concat(F.floor(key / 18).cast("string"), F.lit("/"), name).alias("tool"),
+        F.when(size % 10 == 0, F.lit(schema % "objekt")).otherwise(F.lit(schema % "object")).alias("parameters"),
+        F.when(size % 9 == 1, F.lit("fetch(k)")).otherwise(F.lit("return k + 1")).alias("body"),
+        "p_size",
+    )
+    smoke = tools.select(
+        "tool", F.lit("smoke").alias("kind"), (size % 8 != 2).alias("ok"),
+        F.when(size % 16 == 2, "timed out").when(size % 8 == 2, "TypeError: k is undefined").alias("error"),
+    )
+    tenth = tools.select("tool", "p_size", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("i"))
+    fuzz = tenth.select(
+        "tool", F.lit("fuzz").alias("kind"), (~((size % 7 == 3) & (F.col("i") == 4))).alias("ok"), F.lit(None).cast("string").alias("error")
+    )
+    last = F.when(size % 11 == 5, 1).otherwise(2)
+    runs = tools.select("tool", "p_size", F.explode(F.sequence(F.lit(0), last)).alias("run_no"))
+    result = F.concat(F.lit('{"k": '), "run_no", F.lit(', "l": [1]}'))
+    seen = F.when((size % 6 == 4) & (F.col("run_no") == 1), F.lit("{}")).otherwise(F.concat(F.lit('{"l":[1],"k":'), "run_no", F.lit("}")))
+    observed = runs.select("tool", "run_no", result.alias("recorded"), seen.alias("observed"))
+    columns = ["catalogue", "ordinal", "tool", "parameters", "body"]
+    return discovery.discover_many(
+        tools.filter("not later").select(*columns),
+        tools.filter("later").select(*columns),
+        lambda rows: discovery.gated_tools(rows, smoke.unionByName(fuzz), observed),
+        _FALLBACK,
+    )
+
+
+@query(
+    "catalogue_branches",
+    f"""WITH {_FUNNEL}, ranked AS (SELECT *, row_number() OVER (PARTITION BY catalogue ORDER BY round, ordinal) AS r FROM judged WHERE gate IS NULL)
+    SELECT catalogue, branch, round, ordinal, tool FROM ranked JOIN n2 USING (catalogue) WHERE branch <> 'fallback' AND r <= 12
+    UNION ALL SELECT catalogue, branch, NULL, unnest(range(0, {len(_FALLBACK)})), unnest([{", ".join(f"'{n}'" for n in _FALLBACK)}]) FROM n2 WHERE branch = 'fallback'""",
+)
+def catalogue_branches(spark, d):
+    return _discovered(spark, d).tools
+
+
+@query(
+    "catalogue_counts",
+    f"""WITH {_FUNNEL}, d AS (SELECT catalogue, count(*) AS d FROM both_ GROUP BY 1),
+    r AS (SELECT catalogue, count(*) AS raw, count(*) FILTER (NOT later) AS raw_first FROM p GROUP BY 1)
+    SELECT catalogue, CASE WHEN n BETWEEN 4 AND 7 THEN raw ELSE raw_first END AS raw, coalesce(d, m) AS deduped,
+        n AS first_survivors, k AS survivors, branch FROM n2 JOIN r USING (catalogue) LEFT JOIN d USING (catalogue)""",
+)
+def catalogue_counts(spark, d):
+    return _discovered(spark, d).counts
+
+
+@query(
+    "catalogue_failures",
+    f"""WITH {_FUNNEL}, gates AS (SELECT unnest(['schema', 'parse', 'sandbox', 'fuzz', 'trajectory']) AS gate)
+    SELECT catalogue, gates.gate, count(judged.tool) AS failures FROM n2 CROSS JOIN gates LEFT JOIN judged USING (catalogue, gate) GROUP BY 1, 2""",
+)
+def catalogue_failures(spark, d):
+    return catalog.failures_per_gate(_discovered(spark, d).gated, group="catalogue")
+
+
 # --- quality -----------------------------------------------------------------------------------
 
 _DIMS = """1 + 4 * quality AS faithfulness, 5 - 4 * toxic AS "toolCorrectness", (3 + doc_id % 3)::INT AS naturalness, 4 AS grounding"""
