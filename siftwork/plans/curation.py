@@ -100,7 +100,8 @@ def curate(
     ``examples`` has a unique bigint ``example_id`` (the order of preference),
     ``messages`` and ``source_chunks``; ``scores`` one primary score row per
     example and optionally ``disagreements``; ``embeddings`` ``(example_id,
-    embedding)``. Everything an example carries stays on its row.
+    embedding)``, where an example without one resembles none. Everything an
+    example carries stays on its row.
     """
     dims = [F.col(d) for d in quality.DIMENSIONS]
     judged = scores.select("example_id", quality.accepted(*dims).alias("accepted"), "disagreements")
@@ -110,8 +111,10 @@ def curate(
     if embeddings is None:
         final = unlike
     else:
-        left = embeddings.join(unlike, "example_id", "left_semi")
-        final = cut(drop_similar_vectors(left, "example_id", "embedding", cosine).select("example_id"))
+        left = cut(embeddings.join(unlike, "example_id", "left_semi").select("example_id", "embedding"))
+        apart = drop_similar_vectors(left, "example_id", "embedding", cosine).select("example_id")
+        lost = left.select("example_id").join(apart, "example_id", "left_anti")
+        final = cut(unlike.join(lost, "example_id", "left_anti"))
     mark = F.lit(True)
     flags = (
         judged.join(unlike.withColumn("_m", mark), "example_id", "left")

@@ -684,7 +684,7 @@ def overlap_check(spark, d):
 _CONV = """conv AS MATERIALIZED (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations WHERE conv_id % 7 <> 3 GROUP BY 1)"""
 
 
-def _curated(spark, d):
+def _curated(spark, d, embeddings=None, cosine=0.92):
     examples = _nested(spark, d).select(
         F.col("conv_id").alias("example_id"), "messages", F.array("conv_id").alias("source_chunks")
     )
@@ -696,7 +696,7 @@ def _curated(spark, d):
     )
     known = spark.createDataFrame([("click",)], "tool string")
     held = table(spark, d, "benchmark").select(F.col("item_id").alias("id"))
-    return curate(examples, scores, known, held)
+    return curate(examples, scores, known, held, embeddings, cosine=cosine)
 
 
 @query(
@@ -721,6 +721,30 @@ def curated_examples(spark, d):
     return _curated(spark, d).training.select("example_id")
 
 
+_CLOSE = 0.3  # the embeddings of the tables resemble each other little
+_GREEDY_CONV = greedy_sql("conv", "conv_id", "text").replace("RECURSIVE ", "RECURSIVE " + _CONV + ", ", 1)
+
+
+@query(
+    "curation_with_embeddings",
+    f"""WITH {_GREEDY_CONV}, v AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IN (SELECT ord FROM kept)),
+    near AS MATERIALIZED (SELECT a.vec_id AS src, b.vec_id AS dst FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= {_CLOSE}),
+    turn AS MATERIALIZED (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS n FROM v),
+    pace AS (SELECT 0::BIGINT AS n, []::BIGINT[] AS k UNION ALL
+        SELECT turn.n, CASE WHEN EXISTS (SELECT 1 FROM near WHERE near.dst = turn.vec_id AND list_contains(pace.k, near.src))
+            THEN pace.k ELSE list_append(pace.k, turn.vec_id) END FROM pace JOIN turn ON turn.n = pace.n + 1),
+    apart AS (SELECT unnest(k) AS ord FROM (SELECT k FROM pace ORDER BY n DESC LIMIT 1)),
+    final AS (SELECT ord FROM kept WHERE ord NOT IN (SELECT vec_id FROM v) OR ord IN (SELECT ord FROM apart))
+    SELECT c.conv_id AS example_id, c.conv_id % 7 <> 3 AS accepted, (c.conv_id % 2)::INT AS disagreements,
+        c.conv_id IN (SELECT ord FROM kept) AS kept_minhash, c.conv_id IN (SELECT ord FROM final) AS kept_cosine
+    FROM (SELECT DISTINCT conv_id FROM conversations) c""",
+)
+def curation_with_embeddings(spark, d):
+    """Both near-duplicate filters in one flow: cosine sees what MinHash kept."""
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("example_id"), "embedding")
+    return _curated(spark, d, vectors, _CLOSE).flags
+
+
 # --- frames, replay, scoring -----------------------------------------------------------------
 
 _O, _C = frames.OPEN_TAG, frames.CLOSE_TAG
