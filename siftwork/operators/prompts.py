@@ -341,3 +341,32 @@ def retry_round(
 def eval_items(kind: Column, index: Column) -> Column:
     """``eval-{kind}-{index}``."""
     return F.concat_ws("-", F.lit("eval"), kind, index.cast("string"))
+
+
+# How a slice of chunks is put to a tool designer. ``{product}`` is filled in by the caller.
+DESIGN_USER = (
+    "Worker id: {worker}. Slice of {n} chunks below. Design 3–6 tools that could answer {product} developer questions"
+    " grounded in these chunks.\n\n{chunks}"
+)
+DESIGN_CHUNK = '<chunk id="{id}" source="{source}">\n{text}\n</chunk>'
+
+
+def design_prompts(chunks: DataFrame, worker: str, order: str, system: str, product: str) -> DataFrame:
+    """``(worker, system, user)`` per worker from chunks ``(worker, order, id, source, text)``.
+
+    Workers hold slices of bounded size. The system prompt is the caller's, as it names
+    the rules of the target device.
+    """
+    head, rest = DESIGN_CHUNK.split("{id}")
+    middle, rest = rest.split("{source}")
+    before, after = rest.split("{text}")
+    wrapped = F.concat(F.lit(head), F.col("id").cast("string"), F.lit(middle), "source", F.lit(before), "text", F.lit(after))
+    slices = chunks.groupBy(worker).agg(
+        F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), wrapped.alias("c")))).alias("those")
+    )
+    first, rest = DESIGN_USER.replace("{product}", product).split("{worker}")
+    second, rest = rest.split("{n}")
+    third, last = rest.split("{chunks}")
+    body = F.array_join(F.transform("those", lambda x: x["c"]), "\n\n")
+    user = F.concat(F.lit(first), F.col(worker).cast("string"), F.lit(second), F.col("n").cast("string"), F.lit(third), body, F.lit(last))
+    return slices.select(worker, F.lit(system).alias("system"), user.alias("user"))

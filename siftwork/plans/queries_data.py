@@ -494,6 +494,29 @@ def boundary_inputs(spark, d):
     return planning.boundary_inputs(params)
 
 
+def _design_sql():
+    head, rest = prompts.DESIGN_CHUNK.split("{id}")
+    middle, rest = rest.split("{source}")
+    before, after = rest.split("{text}")
+    chunk = f"{text_sql(head)} || doc_id || {text_sql(middle)} || source || {text_sql(before)} || text || {text_sql(after)}"
+    first, rest = prompts.DESIGN_USER.replace("{product}", PRODUCT).split("{worker}")
+    second, rest = rest.split("{n}")
+    third, last = rest.split("{chunks}")
+    user = f"""{text_sql(first)} || worker || {text_sql(second)} || count(*) || {text_sql(third)}
+        || string_agg({chunk}, e'\\n\\n' ORDER BY doc_id) || {text_sql(last)}"""
+    return f"""SELECT worker, length({user}) AS user_chars, md5({user}) AS user
+        FROM (SELECT *, (row_number() OVER (ORDER BY doc_id) - 1) // 8 AS worker FROM documents) GROUP BY worker"""
+
+
+@query("design_prompts", _design_sql())
+def design_prompts(spark, d):
+    """Eight chunks a worker, in key order."""
+    numbered = ordering.dense_ordinal(documents(spark, d, "doc_id", "source", "text"), "doc_id")
+    chunks = numbered.select(F.floor(F.col("ordinal") / 8).alias("worker"), "ordinal", F.col("doc_id").alias("id"), "source", "text")
+    made = prompts.design_prompts(chunks, "worker", "ordinal", "Design tools.", PRODUCT)
+    return made.select("worker", F.length("user").cast("bigint").alias("user_chars"), F.md5("user").alias("user"))
+
+
 # Schemas three objects deep, with types that vary from part to part.
 def _nested_sql():
     def value(step):

@@ -135,7 +135,31 @@ def test_checkpoint_sinks(spark, tmp_path):
     rows.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
     sinks.start_checkpoint_stream(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-    assert spark.read.json(str(tmp_path / "out")).count() == 60
+    assert sinks.read_checkpointed(spark, str(tmp_path / "out"), rows.schema).count() == 60
+
+
+def test_a_replayed_batch_is_written_once(spark, tmp_path, monkeypatch):
+    """A batch is written, the stream dies before it is noted, and a restart writes it again."""
+    rows = spark.range(90).selectExpr("id", "'x' as v").repartition(3)
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    commit, seen = sinks.commit_batch, []
+
+    def dies(batch, number, path):
+        commit(batch, number, path)
+        seen.append(number)
+        if number == 1:
+            raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr(sinks, "commit_batch", dies)
+    paths = str(tmp_path / "out"), str(tmp_path / "state")
+    with pytest.raises(Exception, match="lost after"):
+        sinks.start_checkpoint_stream(stream, *paths).awaitTermination()
+    monkeypatch.setattr(sinks, "commit_batch", commit)
+    sinks.start_checkpoint_stream(stream, *paths).awaitTermination()
+    found = sinks.read_checkpointed(spark, paths[0], rows.schema)
+    assert seen == [0, 1] and found.columns == ["id", "v"]
+    assert sorted(r["id"] for r in found.collect()) == list(range(90))
 
 
 def test_prompt_answer_sides(spark, tmp_path):
