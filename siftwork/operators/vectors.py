@@ -166,18 +166,32 @@ def _tiles(placed: DataFrame, width: int, axes: np.ndarray, parts: int) -> DataF
     return sorted_rows.select("ord", "block", "row").mapInArrow(pack, _TILES)
 
 
+def _in_one_block(narrow: DataFrame, width: int, threshold: float) -> DataFrame:
+    """``(ord)`` of the rows that stay, of no more rows than a block holds."""
+
+    def resolve(table: pa.Table) -> pa.Table:
+        table = table.sort_by("ord")
+        kept = _greedy(_unit(table, width), threshold)
+        return pa.table([table.column("ord").take(pa.array(kept))], names=["ord"])
+
+    return narrow.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(resolve, "ord bigint")
+
+
+def _measured(rows: DataFrame, order: str, vector: str, block_rows: int | None) -> tuple[DataFrame, int, int, int]:
+    """``(ord, v)``, its rows, the vectors' width and the rows of a block."""
+    narrow = rows.select(
+        F.col(order).cast("bigint").alias("ord"), F.col(vector).cast("array<double>").alias("v")
+    ).filter("ord is not null")
+    total, width = narrow.agg(F.count("*"), F.max(F.size("v"))).first()
+    return narrow, total, width or 0, block_rows or max(1, BLOCK_BYTES // (8 * max(1, width or 0)))
+
+
 class _Store:
     """The open rows of one run, in tiles."""
 
-    def __init__(self, space: Workspace, rows: DataFrame, order: str, vector: str, block_rows: int | None):
-        self.space = space
-        narrow = rows.select(
-            F.col(order).cast("bigint").alias("ord"), F.col(vector).cast("array<double>").alias("v")
-        ).filter("ord is not null")
-        total, width = narrow.agg(F.count("*"), F.max(F.size("v"))).first()
-        self.width = width or 0
-        self.size = block_rows or max(1, BLOCK_BYTES // (8 * max(1, self.width)))
-        cores = rows.sparkSession.sparkContext.defaultParallelism
+    def __init__(self, space: Workspace, narrow: DataFrame, total: int, width: int, size: int):
+        self.space, self.width, self.size = space, width, size
+        cores = narrow.sparkSession.sparkContext.defaultParallelism
         self.parts = max(1, -(-total * 8 * self.width // PART_BYTES), min(cores, -(-total // _TILE)))
         placed = dense_ordinal(narrow, "ord", out="_i")
         placed = placed.select("ord", "v", F.floor(F.col("_i") / self.size).alias("block"))
@@ -320,8 +334,12 @@ def drop_similar_vectors(
     """
     spark = rows.sparkSession
     stays = spark.createDataFrame([], "ord bigint")
+    narrow, total, width, size = _measured(rows, order, vector, block_rows)
+    if total <= size:
+        stays = _in_one_block(narrow, width, threshold)
+        return rows.join(stays, rows[order].cast("bigint") == stays["ord"], "left_semi")
     with Workspace(spark) as space:
-        store = _Store(space, rows, order, vector, block_rows)
+        store = _Store(space, narrow, total, width, size)
         while counts := store.counts():
             last = _next_blocks(counts, store.size)
             packs = store.packs(0, last, threshold)
@@ -343,7 +361,7 @@ def similar_vectors(
     spark = rows.sparkSession
     found = spark.createDataFrame([], "src bigint, dst bigint, cosine double")
     with Workspace(spark) as space:
-        store = _Store(space, rows, order, vector, block_rows)
+        store = _Store(space, *_measured(rows, order, vector, block_rows))
         for block, _ in store.counts():
             packs = store.packs(block, block, None)
             found = found.unionByName(space.store(store.pairs_with(packs, threshold), keep=True))
