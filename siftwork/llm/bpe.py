@@ -20,7 +20,7 @@ from __future__ import annotations
 import heapq
 import json
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -70,6 +70,7 @@ class Codec:
         self.pair_rank = np.array([*map(self.ranks.__getitem__, self.pairs[:-1].tolist()), NO_RANK], np.int64)
         self.pieces = {i: bytes(back[c] for c in token) for token, i in vocab.items() if i not in self.specials.values()}
         self.pieces |= {i: content.encode() for content, i in self.specials.items()}
+        self.by_id = pa.array([self.pieces.get(i) for i in range(max(self.pieces) + 1)], pa.large_binary())
         self.words = regex.compile(PATTERN)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
         self.known: dict[str, bytes] = {}
@@ -210,45 +211,70 @@ class Codec:
             return array("i", [self.specials[part]]).tobytes()
         return self.encode_piece(part)
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
+    def decode_batch(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of ids that lie one behind the other; text i ends before ``ends[i + 1]``."""
+        taken = self.by_id.take(pa.array(ids, pa.int32()))
+        if taken.null_count:
+            raise KeyError("an id that the vocabulary does not have")
+        _, offsets, data = taken.buffers()
+        cuts = np.frombuffer(offsets, np.int64, len(ids) + 1)[ends].tolist() if len(ids) else [0] * len(ends)
+        joined = memoryview(data) if data is not None else memoryview(b"")
+        return [str(joined[a:b], "utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
 
 
 def _file(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast(Path(path).read_bytes())
 
 
-def encode_texts(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """Replace ``text`` by its token ids, ``array<int>`` in ``out``."""
+def _encoded(codec: Codec, texts: pa.Array) -> pa.ListArray:
+    rows = codec.encode_batch([t or "" for t in texts.to_pylist()])
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+
+
+def _decoded(codec: Codec, lists: pa.ListArray) -> pa.Array:
+    count = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.r_[0, np.cumsum(count, dtype=np.int64)]
+    return pa.array(codec.decode_batch(lists.flatten().to_numpy(zero_copy_only=False), ends), pa.string())
+
+
+def _mapped(df: DataFrame, path: str, source: str, made: T.StructType, work: Callable) -> DataFrame:
+    """Replace ``source`` by the columns of ``made``, which ``work`` takes from it."""
     file = _file(df, path)
-    keep = [c for c in df.columns if c not in (text, out)]
-    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(out, T.ArrayType(T.IntegerType()))])
+    keep = [c for c in df.columns if c != source and c not in made.names]
+    schema = T.StructType([*[df.schema[c] for c in keep], *made.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(file.value)
         for batch in slices(batches):
-            rows = codec.encode_batch([t or "" for t in batch.column(text).to_pylist()])
-            ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-            flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], lists], names=[*keep, out])
+            columns = [*[batch.column(c) for c in keep], *work(codec, batch.column(source))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *made.names])
+
+    return df.select(*keep, source).mapInArrow(run, schema)
+
+
+def _ids_field(name: str) -> T.StructField:
+    return T.StructField(name, T.ArrayType(T.IntegerType()))
 
-    return together(df.select(*keep, text)).mapInArrow(run, schema)
+
+def encode_texts(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
+    """Replace ``text`` by its token ids, ``array<int>`` in ``out``."""
+    return _mapped(together(df), path, text, T.StructType([_ids_field(out)]), lambda codec, texts: [_encoded(codec, texts)])
 
 
 def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
     """Replace ``ids`` by the text they stand for; null ids give the empty text."""
-    file = _file(df, path)
-    keep = [c for c in df.columns if c not in (ids, out)]
-    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(out, T.StringType())])
+    made = T.StructType([T.StructField(out, T.StringType())])
+    return _mapped(df, path, ids, made, lambda codec, lists: [_decoded(codec, lists)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(file.value)
-        for batch in slices(batches):
-            rows = batch.column(ids)
-            texts = [codec.decode(rows[i].values.to_pylist() if rows[i].is_valid else []) for i in range(len(rows))]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in keep], pa.array(texts, pa.string())], names=[*keep, out]
-            )
 
-    return df.select(*keep, ids).mapInArrow(run, schema)
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """Replace ``text`` by its token ids and the text decoded from them, in one pass."""
+    made = T.StructType([_ids_field(ids), T.StructField(out, T.StringType())])
+
+    def work(codec: Codec, texts: pa.Array) -> list[pa.Array]:
+        lists = _encoded(codec, texts)
+        return [lists, _decoded(codec, lists)]
+
+    return _mapped(together(df), path, text, made, work)

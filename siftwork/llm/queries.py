@@ -38,15 +38,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     documents = read(spark, folder, "documents").select("doc_id", "text")
-    ids = bpe.encode_texts(documents, path).select(
+    return bpe.round_trip(documents, path).select(
         "doc_id",
-        "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
-    )
-    decoded = bpe.decode_ids(ids, path)
-    return decoded.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

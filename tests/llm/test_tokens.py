@@ -91,3 +91,14 @@ def test_empty_table(spark):
     empty = documents(spark, [])
     assert bpe.encode_texts(empty, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
     assert packing.packed_documents(empty, public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
+def test_ids_decode_by_themselves_with_nulls_and_other_columns(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe.encode_texts(documents(spark, ODD), path)
+    rows = [(r["doc_id"], None if r["doc_id"] == 0 else list(r["ids"]), "x") for r in ids.collect()]
+    table = spark.createDataFrame(rows, "doc_id long, ids array<int>, text string")
+    back = {r["doc_id"]: r["text"] for r in bpe.decode_ids(table, path).collect()}
+    whole = {r["doc_id"]: r["decoded"] for r in bpe.round_trip(documents(spark, ODD), path).collect()}
+    assert back.pop(0) == "" and whole.pop(0) == (ODD[0] or "")
+    assert back == whole == {i: t or "" for i, t in enumerate(ODD) if i}
