@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -22,7 +23,8 @@ class Scratch:
 
     A stored table is on reliable storage: it cuts lineage, and a lost executor
     costs a re-read. ``release`` overwrites the tables handed out so far with
-    nothing; tables stored with ``keep`` back a returned frame and stay.
+    nothing, and lets Spark free the shuffles of frames that are gone; tables
+    stored with ``keep`` back a returned frame and stay.
     """
 
     def __init__(self, spark: SparkSession):
@@ -41,6 +43,13 @@ class Scratch:
         for path in self.paths:
             nothing.coalesce(1).write.mode("overwrite").parquet(path)
         self.paths.clear()
+        free_shuffles(self.spark)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files live until the JVM collects the plan that made them; long jobs ask for it."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:

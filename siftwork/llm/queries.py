@@ -121,7 +121,9 @@ def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents")
-    return repeats.without_repeats(documents, out="kept_sha256", finish=repeats.kept_digest)
+    left = repeats.without_repeats(documents)
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), text.alias("kept_text"))
 
 
 @query

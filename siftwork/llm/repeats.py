@@ -1,14 +1,15 @@
 """Removal of long byte strings that occur anywhere else, without a suffix array.
 
-A byte goes if a string of ``LENGTH`` bytes that covers it also starts at
+A byte goes if a string of ``length`` bytes that covers it also starts at
 another place of the corpus, in the same document or not. Strings of that length
-are told apart by bucket-pointer refinement:
+are told apart by refining q-gram buckets, by hashes of what lies around a
+q-gram and not, as bucket pointers would be, by the buckets of later offsets:
 
-* Every start falls into the bucket of a q-gram: the ``GRAM`` bytes with the
-  lowest hash inside its string, leftmost if tied. Equal strings have it at the
+* Every start falls into the bucket of a q-gram of its string, a quarter as long:
+  the one with the lowest hash, leftmost if tied. Equal strings have it at the
   same offset, so only members of one bucket can be equal. Neighbouring starts
   share their q-gram; one row stands for all starts of an anchor (the place of
-  the q-gram), about one in 130 bytes.
+  the q-gram), about one in 130 bytes at 400.
 * A bucket is refined by the identifiers of what lies around the anchor. Anchors
   that agree in their whole window are settled together: all their starts
   repeat. A bucket with a single member is done as well.
@@ -28,7 +29,6 @@ text are documents of their own, so they repeat each other.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,17 +40,14 @@ from pyspark.sql import types as T
 
 from siftwork.llm.common import HEAVY_KEYS, Scratch, join_groups, slices, text_bytes
 
-LENGTH, GRAM = 400, 100
-SPREAD = LENGTH - GRAM  # largest offset of an anchor in a string
-WIDTH = LENGTH + SPREAD  # bytes around an anchor that any of its strings may cover
+LENGTH = 400
+LONGEST = 1 << 14
 SEGMENT = 1 << 20  # starts of a document that are worked on together
 PLACE_BITS = np.uint64((1 << 24) - 1)
 ROWS = 4096
 
 _random = np.random.default_rng(20)
 _BYTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_AT_PLACE = _random.integers(0, 1 << 63, (WIDTH, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_OFFSET = _random.integers(0, 1 << 63, SPREAD + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
 
@@ -66,26 +63,41 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-_UP, _DOWN = _powers(_STEP, SEGMENT + LENGTH), _powers(_BACK, SEGMENT + LENGTH)
+_UP, _DOWN = _powers(_STEP, SEGMENT + LONGEST), _powers(_BACK, SEGMENT + LONGEST)
 
 
-def anchors(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+class Strings:
+    """The length of the strings and of their q-grams, and what follows from them."""
+
+    def __init__(self, length: int = LENGTH):
+        if not 8 <= length <= LONGEST:
+            raise ValueError(f"strings of 8 to {LONGEST} bytes, not {length}")
+        self.length, self.gram = length, length // 4
+        self.spread = length - self.gram  # largest offset of an anchor in a string
+        self.width = length + self.spread  # bytes around an anchor that any of its strings may cover
+        draw = np.random.default_rng(21)
+        self.places = draw.integers(0, 1 << 63, (self.width, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.offsets = draw.integers(0, 1 << 63, self.spread + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def anchors(text: bytes, length: int = LENGTH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(q-gram hash, place, lowest and highest offset of its starts) by segment.
 
     The starts of an anchor at place p are p - highest to p - lowest.
     """
-    starts = len(text) - LENGTH + 1
+    gram, spread = length // 4, length - length // 4
+    starts = len(text) - length + 1
     for begin in range(0, starts, SEGMENT):
         count = min(SEGMENT, starts - begin)
-        data = np.frombuffer(text, np.uint8, count + LENGTH - 1, begin)
+        data = np.frombuffer(text, np.uint8, count + length - 1, begin)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTE[data] * _UP[: len(data)], out=sums[1:])
-        grams = (sums[GRAM:] - sums[:-GRAM]) * _DOWN[: len(data) - GRAM + 1]
+        grams = (sums[gram:] - sums[:-gram]) * _DOWN[: len(data) - gram + 1]
         grams ^= grams >> np.uint64(29)
         grams *= np.uint64(0xBF58476D1CE4E5B9)
         grams ^= grams >> np.uint64(32)
         ranked = (grams & ~PLACE_BITS) | np.arange(len(grams), dtype=np.uint64)
-        width = SPREAD + 1
+        width = spread + 1
         blocks = np.full(-(-len(ranked) // width) * width, np.iinfo(np.uint64).max)
         blocks[: len(ranked)] = ranked
         blocks = blocks.reshape(-1, width)
@@ -102,7 +114,7 @@ def anchors(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, n
 _ANCHORS = "gram long, window long, places binary, n long, low int, high int"
 
 
-def _anchor_rows(df: DataFrame, key: str, text: str) -> DataFrame:
+def _anchor_rows(df: DataFrame, key: str, text: str, length: int) -> DataFrame:
     """One row per document, q-gram and window: how often and where."""
     schema = T.StructType([df.schema[key], df.schema["_crc"], *T.StructType.fromDDL(_ANCHORS).fields])
 
@@ -111,9 +123,9 @@ def _anchor_rows(df: DataFrame, key: str, text: str) -> DataFrame:
             owner, rows = [], []
             for i, data in enumerate(text_bytes(batch.column(text))):
                 found: dict[tuple, list[int]] = {}
-                for part in anchors(data):
+                for part in anchors(data, length):
                     for gram, place, low, high in zip(*(a.tolist() for a in part)):
-                        window = xxhash.xxh3_64_intdigest(data[place - high : place - low + LENGTH], low << 9 | high)
+                        window = xxhash.xxh3_64_intdigest(data[place - high : place - low + length], low << 32 | high)
                         found.setdefault((gram, window - (1 << 63), low, high), []).append(place)
                 owner += [i] * len(found)
                 rows += found.items()
@@ -137,34 +149,36 @@ def _anchor_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, "_crc", text).mapInArrow(run, schema)
 
 
-def _window_sums(windows: list[bytes], high: np.ndarray) -> np.ndarray:
+def _window_sums(windows: list[bytes], high: np.ndarray, strings: Strings) -> np.ndarray:
     """Hash of the string at every offset: rows x offsets, highest offset first."""
-    data = np.zeros((len(windows), WIDTH), np.uint8)
-    inside = np.zeros((len(windows), WIDTH), bool)
+    data = np.zeros((len(windows), strings.width), np.uint8)
+    inside = np.zeros((len(windows), strings.width), bool)
     for i, (window, h) in enumerate(zip(windows, high.tolist())):
-        data[i, SPREAD - h : SPREAD - h + len(window)] = np.frombuffer(window, np.uint8)
-        inside[i, SPREAD - h : SPREAD - h + len(window)] = True
-    sums = np.zeros((len(windows), WIDTH + 1), np.uint64)
-    np.cumsum(np.where(inside, _AT_PLACE[np.arange(WIDTH)[None, :], data], np.uint64(0)), axis=1, out=sums[:, 1:])
-    return sums[:, LENGTH:] - sums[:, : SPREAD + 1]
-
-
-def _start_hashes(gram: np.ndarray, low: np.ndarray, high: np.ndarray, windows: list[bytes]):
-    """(row, column, hash) of all own starts; column SPREAD - offset."""
-    hashes = _window_sums(windows, high)
-    column = np.arange(SPREAD + 1)[None, :]
-    row, column = np.nonzero((column >= SPREAD - high[:, None]) & (column <= SPREAD - low[:, None]))
-    mixed = (hashes[row, column] ^ gram.view(np.uint64)[row]) * _OFFSET[column]
+        at = strings.spread - h
+        data[i, at : at + len(window)] = np.frombuffer(window, np.uint8)
+        inside[i, at : at + len(window)] = True
+    sums = np.zeros((len(windows), strings.width + 1), np.uint64)
+    hashed = strings.places[np.arange(strings.width)[None, :], data]
+    np.cumsum(np.where(inside, hashed, np.uint64(0)), axis=1, out=sums[:, 1:])
+    return sums[:, strings.length :] - sums[:, : strings.spread + 1]
+
+
+def _start_hashes(gram: np.ndarray, low: np.ndarray, high: np.ndarray, windows: list[bytes], strings: Strings):
+    """(row, column, hash) of all own starts; column spread - offset."""
+    hashes = _window_sums(windows, high, strings)
+    column = np.arange(strings.spread + 1)[None, :]
+    row, column = np.nonzero((column >= strings.spread - high[:, None]) & (column <= strings.spread - low[:, None]))
+    mixed = (hashes[row, column] ^ gram.view(np.uint64)[row]) * strings.offsets[column]
     return row, column, mixed ^ (mixed >> np.uint64(31))
 
 
-def _runs(place: int, columns: np.ndarray) -> list[int]:
+def _runs(place: int, columns: np.ndarray, strings: Strings) -> list[int]:
     """Removed bytes [begin, end, begin, end, ...] of repeated starts."""
     if not len(columns):
         return []
     cut = np.flatnonzero(np.diff(columns) > 1)
     first, last = columns[np.r_[0, cut + 1]], columns[np.r_[cut, len(columns) - 1]]
-    return np.c_[first, last + LENGTH].ravel().__add__(place - SPREAD).tolist()
+    return np.c_[first, last + strings.length].ravel().__add__(place - strings.spread).tolist()
 
 
 _ARROW = {
@@ -174,7 +188,7 @@ _ARROW = {
 _OPEN = "gram long, place int, low int, high int, is_open boolean, bytes binary"
 
 
-def _refine(rows: DataFrame, key: str) -> DataFrame:
+def _refine(rows: DataFrame, key: str, strings: Strings) -> DataFrame:
     """Removed runs of open anchors; whole buckets are worked on together."""
     schema = T.StructType([rows.schema[key], rows.schema["_crc"], T.StructField("runs", T.ArrayType(T.IntegerType()))])
     names = rows.columns
@@ -182,14 +196,14 @@ def _refine(rows: DataFrame, key: str) -> DataFrame:
     def settle(table: pa.Table) -> pa.RecordBatch:
         high, place = table["high"].to_numpy(), table["place"].to_numpy()
         row, column, mixed = _start_hashes(
-            table["gram"].to_numpy(), table["low"].to_numpy(), high, table["bytes"].to_pylist()
+            table["gram"].to_numpy(), table["low"].to_numpy(), high, table["bytes"].to_pylist(), strings
         )
         _, where, count = np.unique(mixed, return_inverse=True, return_counts=True)
         again = count[where] > 1
         row, column = row[again], column[again]
         edge = np.searchsorted(row, np.arange(table.num_rows + 1))
         chosen = [i for i in np.flatnonzero(table["is_open"].to_numpy(zero_copy_only=False)) if edge[i + 1] > edge[i]]
-        runs = [_runs(int(place[i]), column[edge[i] : edge[i + 1]]) for i in chosen]
+        runs = [_runs(int(place[i]), column[edge[i] : edge[i + 1]], strings) for i in chosen]
         at = pa.array(chosen, pa.int64())
         return pa.RecordBatch.from_arrays(
             [
@@ -216,7 +230,7 @@ def _refine(rows: DataFrame, key: str) -> DataFrame:
     return rows.repartition("gram").sortWithinPartitions("gram").select(*names).mapInArrow(run, schema)
 
 
-def _refine_heavy(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+def _refine_heavy(rows: DataFrame, key: str, scratch: Scratch, length: int) -> DataFrame:
     """The same for buckets of any size, by combined counts over blocks of offsets.
 
     A block's strings share what all of them cover, its ``part``, and lie in what
@@ -238,11 +252,11 @@ def _refine_heavy(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
                 for i, (gram, place, low, high, is_open, top, data) in enumerate(zip(*columns)):
                     for base in range(low // size * size, high + 1, size):
                         last, first = base + size - 1, max(low, base)
-                        seed = (gram ^ (base << 12 | size)) & ((1 << 64) - 1)
+                        seed = (gram ^ (base << 16 | size)) & ((1 << 64) - 1)
                         # data begins at offset top, that is top bytes before the anchor
-                        part = xxhash.xxh3_64_intdigest(data[top - base : top - last + LENGTH], seed)
+                        part = xxhash.xxh3_64_intdigest(data[top - base : top - last + length], seed)
                         full = low <= base and last <= high
-                        inside = data[top - min(high, last) : top - first + LENGTH]
+                        inside = data[top - min(high, last) : top - first + length]
                         whole = xxhash.xxh3_64_intdigest(inside, seed ^ 1 << 40) - (1 << 63) if full else None
                         owner.append(i)
                         made.append((gram, place, first, min(high, last), is_open, base, part - (1 << 63), whole, inside))
@@ -273,7 +287,7 @@ def _refine_heavy(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
         if size > 1:
             partners = done.drop("n").dropDuplicates(["whole"]).withColumn("is_open", F.lit(False))
             level = met.filter("n IS NULL").drop("n").unionByName(partners).withColumn("top", F.col("high"))
-    runs = F.array(F.col("place") - F.col("high"), F.col("place") - F.col("low") + LENGTH)
+    runs = F.array(F.col("place") - F.col("high"), F.col("place") - F.col("low") + length)
     return valid.select(key, "_crc", runs.alias("runs"))
 
 
@@ -293,25 +307,22 @@ def cut_runs(text: bytes, runs: np.ndarray) -> tuple[int, int, bytes]:
     return int((end - begin).sum()), len(begin), b"".join(kept)
 
 
-def kept_digest(kept: bytes) -> str:
-    return hashlib.sha256(kept).hexdigest()
-
-
-def kept_text(kept: bytes) -> str:
-    """What is left, as text; a character that was cut in two is dropped."""
-    return kept.decode("utf-8", "ignore")
+def whole_characters(kept: bytes) -> bytes:
+    """What is left, without the parts of characters that were cut in two."""
+    return kept.decode("utf-8", "ignore").encode()
 
 
 def without_repeats(
-    df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "kept",
-    finish: Callable[[bytes], str] = kept_text,
+    df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
+    finish: Callable[[bytes], bytes] = bytes,
 ) -> DataFrame:
-    """Columns key, n_bytes, n_removed, n_spans and ``out``: what is left, through ``finish``."""
+    """Columns key, n_bytes, n_removed, n_spans and ``kept``: the bytes that are left, through ``finish``."""
+    out, strings = "kept", Strings(length)
     scratch = Scratch(df.sparkSession)
     texts = df.select(key, F.col(text).alias("_text")).withColumn(
         "_crc", F.crc32(F.coalesce("_text", F.lit("")).cast("binary"))
     )
-    found = scratch.store(_anchor_rows(texts, key, "_text"))
+    found = scratch.store(_anchor_rows(texts, key, "_text", length))
     buckets = found.groupBy("gram").agg(
         F.sum("n").alias("total"), F.count("*").alias("n"), F.min("window").alias("a"), F.max("window").alias("b")
     )
@@ -340,11 +351,11 @@ def without_repeats(
     )
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_crc") == F.col("_crc2"))
     stage = texts.join(lists, same, "left").drop("_key", "_crc2")
-    done = scratch.store(_first_pass(stage, key, out, finish), keep=True)
+    done = scratch.store(_first_pass(stage, key, out, finish, length))
     light = done.filter("gram IS NOT NULL AND NOT heavy").select(key, "_crc", *_names(_OPEN))
     dense = done.filter("gram IS NOT NULL AND heavy").select(key, "_crc", *_names(_OPEN))
-    runs = _refine(light.dropDuplicates([key, "_crc", "place", "low"]), key).unionByName(
-        _refine_heavy(dense.dropDuplicates([key, "_crc", "place", "low"]), key, scratch)
+    runs = _refine(light.dropDuplicates([key, "_crc", "place", "low"]), key, strings).unionByName(
+        _refine_heavy(dense.dropDuplicates([key, "_crc", "place", "low"]), key, scratch, length)
     )
     more = runs.groupBy(key, "_crc").agg(F.flatten(F.collect_list("runs")).alias("more")).withColumnsRenamed(
         {key: "_key", "_crc": "_crc2"}
@@ -362,10 +373,12 @@ def _names(ddl: str) -> list[str]:
     return [part.split()[0] for part in ddl.split(", ")]
 
 
-def _first_pass(stage: DataFrame, key: str, out: str, finish: Callable[[bytes], str]) -> DataFrame:
+def _first_pass(
+    stage: DataFrame, key: str, out: str, finish: Callable[[bytes], bytes], length: int
+) -> DataFrame:
     """Per document its answer, or its text and settled runs if borders are open;
     and a row with the window of every anchor that takes part in refinement."""
-    fields = f"{_OPEN}, heavy boolean, text binary, runs array<int>, n_bytes long, n_removed long, n_spans long, {out} string"
+    fields = f"{_OPEN}, heavy boolean, text binary, runs array<int>, n_bytes long, n_removed long, n_spans long, {out} binary"
     schema = T.StructType([stage.schema[key], stage.schema["_crc"], *T.StructType.fromDDL(fields).fields])
     columns = _names(fields)
 
@@ -384,13 +397,13 @@ def _first_pass(stage: DataFrame, key: str, out: str, finish: Callable[[bytes],
                 for e in entries or []:
                     places = np.frombuffer(e["places"], "<i4")
                     if e["is_open"] is None:
-                        runs.append(np.c_[places - e["high"], places - e["low"] + LENGTH])
+                        runs.append(np.c_[places - e["high"], places - e["low"] + length])
                         continue
                     waits |= e["is_open"]
                     place = int(places[0])
                     put(
                         i, gram=e["gram"], place=place, low=e["low"], high=e["high"], is_open=e["is_open"],
-                        heavy=bool(e["heavy"]), bytes=data[place - e["high"] : place - e["low"] + LENGTH],
+                        heavy=bool(e["heavy"]), bytes=data[place - e["high"] : place - e["low"] + length],
                     )
                 spans = np.concatenate(runs) if runs else np.empty((0, 2), np.int64)
                 if waits:
@@ -400,7 +413,7 @@ def _first_pass(stage: DataFrame, key: str, out: str, finish: Callable[[bytes],
                     put(i, n_bytes=len(data), n_removed=removed, n_spans=n, **{out: finish(kept)})
             at = pa.array(owner, pa.int64())
             types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.bool_(), pa.binary(),
-                     pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+                     pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key).take(at), batch.column("_crc").take(at)]
                 + [pa.array(made[c], t) for c, t in zip(columns, types)],
@@ -410,9 +423,9 @@ def _first_pass(stage: DataFrame, key: str, out: str, finish: Callable[[bytes],
     return stage.select(key, "_crc", "_text", "list").mapInArrow(run, schema)
 
 
-def _second_pass(waiting: DataFrame, key: str, out: str, finish: Callable[[bytes], str]) -> DataFrame:
+def _second_pass(waiting: DataFrame, key: str, out: str, finish: Callable[[bytes], bytes]) -> DataFrame:
     schema = T.StructType(
-        [waiting.schema[key], *T.StructType.fromDDL(f"n_bytes long, n_removed long, n_spans long, {out} string").fields]
+        [waiting.schema[key], *T.StructType.fromDDL(f"n_bytes long, n_removed long, n_spans long, {out} binary").fields]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,7 +435,7 @@ def _second_pass(waiting: DataFrame, key: str, out: str, finish: Callable[[bytes
                 removed, n, kept = cut_runs(data, np.array((a or []) + (b or []), np.int64).reshape(-1, 2))
                 answers.append((len(data), removed, n, finish(kept)))
             columns = list(zip(*answers)) or [[]] * 4
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), *[pa.array(c, t) for c, t in zip(columns, types)]],
                 names=[key, "n_bytes", "n_removed", "n_spans", out],

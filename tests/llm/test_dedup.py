@@ -138,18 +138,28 @@ def repeating():
     return texts
 
 
-def test_removed_bytes_equal_brute_force(spark):
+def hashed(rows):
+    return sorted((*r[:4], hashlib.sha256(r["kept"]).hexdigest()) for r in rows)
+
+
+@pytest.mark.parametrize("length", [400, 250, 61])
+def test_removed_bytes_equal_brute_force(spark, length):
     texts = repeating()
-    found = repeats.without_repeats(documents(spark, texts), out="sha", finish=repeats.kept_digest).collect()
-    assert sorted(map(tuple, found)) == brute_repeats(texts)
+    found = repeats.without_repeats(documents(spark, texts), length=length).collect()
+    assert hashed(found) == brute_repeats(texts, length)
+
+
+def test_kept_text_leaves_no_part_of_a_character():
+    assert repeats.whole_characters("aüb".encode()[:2]) == b"a"
+    assert repeats.whole_characters("aüb".encode()) == "aüb".encode()
 
 
 def test_large_buckets_equal_brute_force(spark, monkeypatch):
     heavy = repeats._refine_heavy
-    monkeypatch.setattr(repeats, "_refine", lambda rows, key: heavy(rows, key, Scratch(spark)))
+    monkeypatch.setattr(repeats, "_refine", lambda rows, key, strings: heavy(rows, key, Scratch(spark), strings.length))
     texts = repeating()
-    found = repeats.without_repeats(documents(spark, texts), out="sha", finish=repeats.kept_digest).collect()
-    assert sorted(map(tuple, found)) == brute_repeats(texts)
+    found = repeats.without_repeats(documents(spark, texts)).collect()
+    assert hashed(found) == brute_repeats(texts)
 
 
 def test_segments_of_a_long_text(spark, monkeypatch):

@@ -29,7 +29,7 @@ def test_stages_act_on_what_is_left(spark, tmp_path):
     assert sorted(r["doc_id"] for r in after.collect()) == firsts
     after = functions[2](spark, after, str(tmp_path))
     found = {r["doc_id"]: r["text"] for r in after.collect()}
-    removed = brute_repeats([texts[i] for i in firsts])
+    removed = brute_repeats([texts[i] for i in firsts], corpus_pipeline.REPEATED)
     assert {i: len(t.encode()) for i, t in found.items()} == {firsts[k]: n - gone for k, n, gone, _, _ in removed}
     assert sum(gone for _, _, gone, _, _ in removed) > 0
     after = functions[3](spark, after, str(tmp_path))
