@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from siftwork.llm import neardup, packing, quality, repeats, secrets
 from siftwork.llm.common import Scratch, read
 
+REPEATED = 250  # bytes of a repeated string: about 50 words are 300
 ORACLE_SQL = None  # trees, sketches and forests have no SQL form; see the tests
 
 
@@ -38,12 +39,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the long strings that occur anywhere else.
+    """Every document, without the strings of ``REPEATED`` bytes that occur anywhere else.
 
     A row is known by a hash of its key and text, and its length, as keys may repeat.
     """
     rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    found = repeats.without_repeats(rows, key="_row").filter("n_removed > 0")
+    left = repeats.without_repeats(rows, "_row", length=REPEATED, finish=repeats.whole_characters)
+    found = left.filter("n_removed > 0").withColumn("kept", F.col("kept").cast("string"))
     changed = found.groupBy(F.col("_row").alias("_key"), "n_bytes").agg(F.min("kept").alias("_kept"))
     same = (F.col("_row") == F.col("_key")) & (F.octet_length("text") == F.col("n_bytes"))
     met = rows.join(changed, same, "left")
