@@ -8,7 +8,8 @@ of them with (1 - s) ** TREES, 6e-8 at 0.75, where no path has to branch.
 
 On every path the members are first compared with one pivot, the same one in
 all trees, which joins most groups of copies; in ``STARS`` - 1 more rounds with
-two, one of the path's largest component and one of the others. Then a path is small if no more
+two, one of the path's largest component and one of the others. Between rounds a
+component goes by the name of a linked node; components in full are made once, last. Then a path is small if no more
 than ``SMALL`` of its members are outside its largest component: these are
 compared with all members. Any other path branches: each member goes on to the
 paths of two further minwise tokens, at distinct places chosen by a hash of the
@@ -42,13 +43,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftwork.llm.common import Scratch, join_groups, slices, text_bytes
+from siftwork.llm.common import Scratch, free_shuffles, join_groups, slices, text_bytes
 from siftwork.llm.components import components
 
 SHINGLE, SHARED, OF = 5, 75, 100  # words; 100 * intersection >= 75 * union
 TREES, SKETCH = 12, 128
 SMALL, DEEPEST = 24, 12
-STARS = 4
+STARS = 3
+JUMPS = 2  # pointers followed to name a component between rounds
 SKETCH_LIMIT = 70  # agreeing sketch places; 96 are expected at 0.75, 5.3 deviations above
 PER_COPY = 64  # comparisons that one copy of a document serves
 
@@ -135,7 +137,10 @@ def _sketches(column: pa.Array) -> np.ndarray:
 
 
 def _candidate_pairs(met: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members (node, n, sketch, comp) with those in ``those`` of other components."""
+    """Pairs (a, b) of members (node, n, sketch, comp, out) with those in ``those`` of other components.
+
+    Two members that are both ``out`` meet twice, each among the other's ``those``, and count once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4096):
@@ -151,18 +156,18 @@ def _candidate_pairs(met: DataFrame) -> DataFrame:
                 other["n"].to_numpy(), _sketches(other["sketch"]),
             ) if len(row) else np.empty(0, bool)
             at = np.flatnonzero(near)
-            mine, comp = batch.column("node").to_pylist(), batch.column("comp").to_pylist()
+            mine, comp, out = (batch.column(c).to_pylist() for c in ("node", "comp", "out"))
             theirs, comps = other["node"].to_pylist(), other["comp"].to_pylist()
             pairs = {
                 (min(mine[i], theirs[k]), max(mine[i], theirs[k]))
                 for i, k in zip(row[at].tolist(), at.tolist())
-                if comp[i] != comps[k] and mine[i] != theirs[k]
+                if comp[i] != comps[k] and (mine[i] < theirs[k] or (mine[i] != theirs[k] and not out[i]))
             }
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p[s] for p in pairs], pa.binary()) for s in (0, 1)], names=["a", "b"]
             )
 
-    return met.select("node", "n", "sketch", "comp", "those").mapInArrow(run, "a binary, b binary").distinct()
+    return met.select("node", "n", "sketch", "comp", "out", "those").mapInArrow(run, "a binary, b binary").distinct()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -224,34 +229,37 @@ def marked_components(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     whole = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
     texts = scratch.store(whole.join(wanted, same).select("node", "text").dropDuplicates(["node"]))
     involved = involved.drop("low")
-    stars = met.filter("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("t"))
+    free_shuffles(df.sparkSession)
+    stars = met.filter("node != pivot").select("node", "pivot").distinct()
     links = scratch.store(confirmed(_star_pairs(stars, involved, scratch), texts, scratch))
-    comps = components(links, scratch)
-    placed = met.select("path", "node").join(involved, "node")
     for number in range(1, STARS):
-        mixed = _mixed(_with_component(placed, comps), scratch)
-        order = F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node", "n", "sketch", "comp")
+        mixed = _mixed(_labelled(met, links, scratch), scratch)
+        order = F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node", "comp")
         pivots = mixed.groupBy("path").agg(
             F.first("m").alias("m"),
             F.min(F.when(F.col("comp") == F.col("main"), order)).alias("inner"),
             F.min(F.when(F.col("comp") != F.col("main"), order)).alias("outer"),
         )
-        pivots = scratch.store(pivots.select("path", "m", F.array(F.col("inner").dropFields("h"), F.col("outer").dropFields("h")).alias("those")))
-        pairs = scratch.store(_candidate_pairs(join_groups(mixed.drop("m"), pivots, "path", "m")))
-        if pairs.isEmpty():
-            break
-        links = scratch.store(links.unionByName(confirmed(pairs, texts, scratch)))
-        comps = components(links, scratch)
-    members = _with_component(placed, comps).withColumn("was", F.lit(None).cast("long"))
+        pivots = scratch.store(pivots.select("path", "m", F.array("inner", "outer").alias("pivots")))
+        stars = join_groups(mixed.select("path", "node", "comp"), pivots, "path", "m")
+        stars = stars.select("node", "comp", F.explode("pivots").alias("pivot")).filter("comp != pivot.comp")
+        pairs = _star_pairs(stars.select("node", "pivot.node").toDF("node", "pivot").distinct(), involved, scratch)
+        links = scratch.store(links.unionByName(confirmed(pairs, texts, scratch)).distinct())
+    members = _labelled(met, links, scratch).join(involved, "node")
+    members = members.withColumn("was", F.lit(None).cast("long")).withColumn("out", F.lit(None).cast("boolean"))
     found = None
     level = 0
+    before = Scratch(df.sparkSession)
     while True:
-        mixed = _mixed(members, scratch)
-        small = mixed.filter(F.col("others") <= SMALL)
+        here = Scratch(df.sparkSession)
+        mixed = _mixed(members, here)
+        before.release()
+        outside = F.coalesce("out", F.col("comp") != F.col("main"))
+        small = mixed.filter(F.col("others") <= SMALL).withColumn("out", outside)
         those = small.filter("comp != main").groupBy("path").agg(
             F.first("m").alias("m"), F.collect_list(F.struct("node", "n", "sketch", "comp")).alias("those")
         )
-        pairs = _candidate_pairs(join_groups(small.drop("m"), scratch.store(those), "path", "m"))
+        pairs = _candidate_pairs(join_groups(small.drop("m"), here.store(those), "path", "m"))
         pairs = scratch.store(pairs)
         found = pairs if found is None else found.unionByName(pairs)
         large = mixed.filter(F.col("others") > SMALL)
@@ -263,6 +271,8 @@ def marked_components(df: DataFrame, key: str = "doc_id", text: str = "text") ->
         else:
             full = F.coalesce(2 * F.col("others") > F.col("was"), F.lit(False))
             members = _branches(large.filter(~full), level).unionByName(_in_blocks(large.filter(full), level))
+        before = here
+    here.release()
     extra = confirmed(scratch.store(found.distinct()), texts, scratch)
     comps = components(links.unionByName(scratch.store(extra)), scratch)
     sizes = nodes.join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -283,15 +293,25 @@ def marked_components(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     return answer
 
 
-def _with_component(placed: DataFrame, comps: DataFrame) -> DataFrame:
-    named = placed.join(comps.withColumnRenamed("root", "comp"), "node", "left")
-    return named.withColumn("comp", F.coalesce("comp", "node"))
+def _labelled(met: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows (path, node, comp): ``comp`` is a node that ``node`` is connected with, its
+    linked node of lowest hash, followed ``JUMPS`` times. Equal names mean connected;
+    connected nodes may still differ, which costs comparisons and no link."""
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    best = both.groupBy(F.col("a").alias("node")).agg(F.min(F.struct(F.xxhash64("b").alias("h"), "b")).alias("low"))
+    lower = F.col("low.h") < F.xxhash64("node")
+    named = scratch.store(best.select("node", F.when(lower, F.col("low.b")).otherwise(F.col("node")).alias("comp")))
+    for _ in range(JUMPS):
+        sizes = named.groupBy("comp").agg(F.count("*").alias("n"))
+        tops = scratch.store(sizes.join(named.select(F.col("node").alias("comp"), F.col("comp").alias("up")), "comp"))
+        named = scratch.store(join_groups(named, tops, "comp").select("node", F.col("up").alias("comp")))
+    placed = met.select("path", "node").join(named, "node", "left")
+    return scratch.store(placed.select("path", "node", F.coalesce("comp", "node").alias("comp")))
 
 
 def _mixed(members: DataFrame, scratch: Scratch) -> DataFrame:
     """Members of paths with more than one component; per path its size, largest
-    component and how many members are outside it."""
-    members = scratch.store(members)
+    component and how many members are outside it. ``members`` is read twice."""
     parts = members.groupBy("path", "comp").agg(F.count("*").alias("c"))
     stats = parts.groupBy("path").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"))
     stats = stats.select("path", "m", F.col("top.comp").alias("main"), (F.col("m") - F.col("top.c")).alias("others"))
@@ -299,7 +319,7 @@ def _mixed(members: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _star_pairs(stars: DataFrame, involved: DataFrame, scratch: Scratch) -> DataFrame:
-    """Candidate pairs of members with their pivots, which may have any number of them."""
+    """Candidate pairs of members with pivots (node, pivot), which may have any number of them."""
     stars = scratch.store(stars)
     pivots = stars.groupBy("pivot").agg(F.count("*").alias("k"))
     pivots = scratch.store(
@@ -307,7 +327,8 @@ def _star_pairs(stars: DataFrame, involved: DataFrame, scratch: Scratch) -> Data
     )
     met = join_groups(stars, pivots, "pivot", "k").join(involved, "node")
     those = F.array(F.struct(F.col("pivot").alias("node"), F.col("pn").alias("n"), F.col("ps").alias("sketch"), F.col("pivot").alias("comp")))
-    return scratch.store(_candidate_pairs(met.select("node", "n", "sketch", F.col("node").alias("comp"), those.alias("those"))))
+    met = met.select("node", "n", "sketch", F.col("node").alias("comp"), F.lit(False).alias("out"), those.alias("those"))
+    return scratch.store(_candidate_pairs(met))
 
 
 def _branches(large: DataFrame, level: int) -> DataFrame:
@@ -321,7 +342,8 @@ def _branches(large: DataFrame, level: int) -> DataFrame:
     apart = F.col("way") * (1 + F.pmod(F.xxhash64("path", F.lit(-level)), F.lit(SKETCH - 1)))
     place = F.pmod(F.pmod(first, F.lit(SKETCH)) + apart, F.lit(SKETCH)).cast("int")
     token = F.substring(F.col("sketch"), place + 1, F.lit(1))
-    return spread.select(F.xxhash64("path", "way", place, token).alias("path"), "node", "n", "sketch", "comp", "was")
+    path = F.xxhash64("path", "way", place, token).alias("path")
+    return spread.select(path, "node", "n", "sketch", "comp", "was", F.lit(None).cast("boolean").alias("out"))
 
 
 def _in_blocks(large: DataFrame, level: int) -> DataFrame:
@@ -332,7 +354,8 @@ def _in_blocks(large: DataFrame, level: int) -> DataFrame:
     own = (F.col("comp") != F.col("main")) & (F.pmod(F.xxhash64("node", F.lit(level)), blocks) == F.col("block"))
     comp = F.when(own, F.col("comp")).otherwise(F.lit(f"main {level}".encode()))
     path = F.xxhash64("path", "block").alias("path")
-    return spread.select(path, "node", "n", "sketch", comp.alias("comp"), F.lit(0).cast("long").alias("was"))
+    out = F.coalesce("out", F.col("comp") != F.col("main")).alias("out")
+    return spread.select(path, "node", "n", "sketch", comp.alias("comp"), F.lit(0).cast("long").alias("was"), out)
 
 
 def without_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
