@@ -9,6 +9,7 @@ from siftwork.functions.draws import pick, with_draws
 from siftwork.functions.jsons import strict_json
 from siftwork.functions.text import bind
 from siftwork.operators.ordering import dense_ordinal
+from siftwork.session import spread
 
 # Persona ids in drawing order, with label and voice. ``{product}``
 # is filled in by the caller.
@@ -243,36 +244,42 @@ def nested_boundary_inputs(tools: DataFrame, depth: int = 8) -> DataFrame:
     The schema is walked: a property that is itself an object takes the i-th input of its
     own properties. Keys come in sorted order; an unknown type gives null, and a schema that
     does not parse, or has no properties, the empty object. Objects below ``depth`` levels fail the job.
-    Returns ``(tool, input_no, arguments)``. A projection: no shuffle.
+    Returns ``(tool, input_no, arguments)``. A schema is walked once for its ten inputs; rows
+    are dealt out, as a small file of tools may hold many.
     """
     table = _boundary_table()
+    numbers = F.sequence(F.lit(0), F.lit(BOUNDARY_INPUTS - 1))
+    unknown = F.array_repeat(F.lit("null"), BOUNDARY_INPUTS)
 
-    def value_of(schema: Column, number: Column, left: int) -> Column:
+    # Either gives an array of the text in every input.
+    def values_of(schema: Column, left: int) -> Column:
         kind = F.try_variant_get(schema, "$.type", "string")
-        plain = F.coalesce(F.get(F.try_element_at(table, kind), number), F.lit("null"))
-        return F.when(kind == "object", object_of(schema, number, left)).otherwise(plain)
+        return F.when(kind == "object", objects_of(schema, left)).otherwise(F.coalesce(F.try_element_at(table, kind), unknown))
 
-    def object_of(schema: Column, number: Column, left: int) -> Column:
+    def objects_of(schema: Column, left: int) -> Column:
         if not left:
-            return F.raise_error(F.lit(f"objects are nested deeper than {depth}")).cast("string")
-        properties = F.map_entries(F.try_variant_get(schema, "$.properties", "map<string,variant>"))
-        members = F.transform(
-            F.array_sort(F.transform(properties, lambda p: p["key"])),
-            lambda k: F.concat(F.to_json(k.cast("variant")), F.lit(":"), value_of(found(schema, k), number, left - 1)),
+            return F.raise_error(F.lit(f"objects are nested deeper than {depth}")).cast("array<string>")
+        properties = F.try_variant_get(schema, "$.properties", "map<string,variant>")
+        return bind(properties, lambda found: bind(members_of(found, left), joined))
+
+    def members_of(found: Column, left: int) -> Column:
+        return F.transform(
+            F.array_sort(F.map_keys(found)),
+            lambda k: F.struct(
+                F.concat(F.to_json(k.cast("variant")), F.lit(":")).alias("k"),
+                values_of(F.element_at(found, k), left - 1).alias("v"),
+            ),
         )
-        return F.concat(F.lit("{"), F.coalesce(F.array_join(members, ","), F.lit("")), F.lit("}"))
 
-    def found(schema: Column, key: Column) -> Column:
-        return F.element_at(F.try_variant_get(schema, "$.properties", "map<string,variant>"), key)
+    def joined(members: Column) -> Column:
+        def one(number: Column) -> Column:
+            texts = F.transform(members, lambda m: F.concat(m["k"], F.get(m["v"], number)))
+            return F.concat(F.lit("{"), F.coalesce(F.array_join(texts, ","), F.lit("")), F.lit("}"))
 
-    numbers = F.sequence(F.lit(0), F.lit(BOUNDARY_INPUTS - 1))
-    inputs = bind(
-        strict_json(F.col("parameters")),
-        lambda schema: F.transform(
-            numbers, lambda i: F.struct(i.alias("input_no"), object_of(schema, i, depth).alias("arguments"))
-        ),
-    )
-    return tools.select("tool", F.inline(inputs))
+        return F.transform(numbers, one)
+
+    arguments = bind(strict_json(F.col("parameters")), lambda schema: objects_of(schema, depth))
+    return spread(tools.select("tool", "parameters")).select("tool", F.posexplode(arguments).alias("input_no", "arguments"))
 
 
 def boundary_inputs(params: DataFrame) -> DataFrame:

@@ -163,3 +163,13 @@ def test_nested_boundary_inputs_equal_a_walk(spark):
     assert planning.nested_boundary_inputs(deep, 3).count() == 10
     with pytest.raises(Exception, match="deeper"):
         planning.nested_boundary_inputs(deep, 2).collect()
+
+
+def test_nested_boundary_inputs_of_one_split_are_dealt(spark):
+    schema = '{"properties": {"o": {"type": "object", "properties": {"n": {"type": "integer"}}}, "d": null, "": {"type": "date"}}}'
+    tools = spark.createDataFrame([(1, schema)], "tool int, parameters string").coalesce(1)
+    found = planning.nested_boundary_inputs(tools)
+    assert found.rdd.getNumPartitions() > 1
+    got = {r["input_no"]: r["arguments"] for r in found.collect()}
+    numbers = planning.BOUNDARY["integer"]
+    assert got == {i: '{"":null,"d":null,"o":{"n":%s}}' % numbers[i] for i in range(planning.BOUNDARY_INPUTS)}
