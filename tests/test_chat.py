@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from siftwork.functions.jsons import strict_json
 from siftwork.operators import catalog, frames, leakage, messages, prompts, quality, replay, scoring
+from siftwork.plans import queries_chat
 from siftwork.plans.curation import curate, question_examples, question_prompts
 from siftwork.plans.discovery import discover, gated_tools
 from siftwork.schemas import CALL, MESSAGES, MULTI_REPLY, PARALLEL_REPLY, QA_REPLY, SINGLE_REPLY
@@ -458,3 +459,16 @@ def test_deny_reason_follows_the_text(spark):
     }
     rows = spark.createDataFrame([(k,) for k in cases], "b string").select("b", catalog.deny_reason(F.col("b")).alias("r")).collect()
     assert {r["b"]: r["r"] for r in rows} == cases
+
+
+def test_catalogue_parts_are_dealt_and_their_log_is_judged_once(spark, tmp_path, monkeypatch):
+    rows = [(i, i * 7 % 50 + 1, f"part {i}") for i in range(1, 60)]
+    spark.createDataFrame(rows, "p_partkey long, p_size int, p_name string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    judged, dealt = [], []
+    gate, first = queries_chat.catalog.trajectory_gate, queries_chat.catalog.keep_first_by_name
+    monkeypatch.setattr(queries_chat.catalog, "trajectory_gate", lambda *a: judged.append(1) or gate(*a))
+    monkeypatch.setattr(
+        queries_chat.catalog, "keep_first_by_name", lambda rows, *a: dealt.append(rows.rdd.getNumPartitions()) or first(rows, *a)
+    )
+    counts = {r["catalogue"]: r["raw"] for r in queries_chat.catalogue_counts(spark, str(tmp_path)).collect()}
+    assert set(counts) == {0, 1, 2, 3} and len(judged) == 1 and dealt[0] > 1
