@@ -281,3 +281,15 @@ def test_windows_longer_than_a_block(spark, monkeypatch):
     placed = telemetry.placed_points(points)
     assert telemetry.reward_variance(placed, limits).count() == 71
     assert sorted(r["seq"] for r in telemetry.bad_losses(placed, limits).collect()) == list(range(59, 65))
+
+
+def test_losses_of_many_short_runs_go_through_in_order_not_run_by_run(spark):
+    rows = [(run, seq, seq, float((run or 0) + seq), None, False) for run in (*range(40), None) for seq in range(3)]
+    points = spark.createDataFrame(rows, "run_id long, seq long, iter long, loss double, reward double, skipped boolean")
+    smooth = telemetry.smoothed_losses(telemetry.placed_points(points))
+    assert "FlatMapGroups" not in smooth._jdf.queryExecution().analyzed().toString()
+    found = {(r["run_id"], r["seq"]): (r["before"], r["after"]) for r in smooth.collect()}
+    for run in range(40):
+        second = 0.9 * run + 0.1 * (run + 1)
+        assert found[run, 0] == (None, run) and found[run, 1] == (run, second)
+        assert found[run, 2] == (second, 0.9 * second + 0.1 * (run + 2))
