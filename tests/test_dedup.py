@@ -1,14 +1,18 @@
 import random
+import tracemalloc
 from hashlib import md5
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from siftwork.functions import minhash
 from siftwork.functions.minhash import signature_column, with_signature
 from siftwork.operators import dedup, vectors
 from siftwork.operators.dedup import Plan, compare_rows, drop_near_duplicates, duplicate_matches
 from siftwork.operators.vectors import drop_similar_vectors, similar_vectors
+from siftwork.session import spread
 
 
 def _signatures(spark, texts):
@@ -291,3 +295,21 @@ def test_many_vectors_without_the_driver(spark, monkeypatch):
         monkeypatch.setattr(type(rows), name, lambda *_: pytest.fail("rows reach the driver"))
     got = drop_similar_vectors(rows, "id", "v", 0.97, 1500).select("id")
     assert sorted(r["id"] for r in got.collect()) == expected and all(skipped)
+
+
+def test_rows_of_one_large_split_are_dealt(spark, tmp_path, monkeypatch):
+    spark.range(2000).selectExpr("id", "concat('some words of row ', id) AS text").coalesce(1).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr("siftwork.session.SPLIT_BYTES", 1 << 10)  # the file is far beyond a split per core
+    assert spread(rows, "id").rdd.getNumPartitions() >= 3 * spark.sparkContext.defaultParallelism
+
+
+def test_words_of_few_rows_are_python_strings_at_a_time():
+    rows = 4000
+    words = pa.array([[f"w{i}-{j}" for j in range(50)] for i in range(rows)])
+    lists = minhash._word_lists(words)
+    tracemalloc.start()
+    counted = sum(1 for _ in lists)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counted == rows and peak < 2 << 20  # all at once are over 10 MB
