@@ -55,11 +55,31 @@ _CODES = np.full(256, 27, np.int64)
 _CODES[97:123] = np.arange(1, 27)
 
 
+# ASCII characters that go: all but letters and white space.
+_DROP = bytes(c for c in range(128) if not (chr(c).isalpha() or chr(c).isspace()))
+_CHANGED: dict[str, str] = {}  # what becomes of other characters, as far as seen
+
+
+def _changed(char: str) -> str:
+    to = _CHANGED.get(char)
+    if to is None:
+        to = _CHANGED[char] = _MARKS.sub("", char).translate(_FOLD)
+    return to
+
+
 def words(text: str) -> set[str]:
     """Distinct words in folded letters."""
-    plain = _MARKS.sub("", text.lower()).translate(_FOLD) if not text.isascii() else _MARKS.sub("", text.lower())
-    joined = _SINGLES.sub(lambda m: m.group().replace(" ", ""), plain)
-    out = set(joined.split())
+    plain = text.lower()
+    if plain.isascii():
+        plain = plain.encode().translate(None, _DROP).decode()
+    else:  # one pass per distinct character that changes, those that go first: a superscript becomes a digit that stays
+        chars = {char: to for char in set(plain) if (to := _changed(char)) != char}
+        for char in sorted(chars, key=chars.get):
+            plain = plain.replace(char, chars[char])
+    found = plain.split()
+    if b"\1\1\1" in bytes([len(w) == 1 for w in found]):  # a spelled word has three letters or more
+        found = _SINGLES.sub(lambda m: m.group().replace(" ", ""), plain).split()
+    out = set(found)
     for word in [w for w in out if len(w) > LONGEST]:
         out.discard(word)
         out.update(word[i : i + LONGEST] for i in range(0, len(word), LONGEST // 2))

@@ -186,3 +186,31 @@ def test_keys_without_a_digit_are_candidates(spark):
     texts = [f"Bearer {key} sent", f"call('{key}')", f"list {key}, x", "Bearer aBcDeFgH sent", "plainlowercaseword secrets management", "UPPERCASEWORDS"]
     found = {(r["doc_id"], r["value"]) for r in secrets.findings(documents(spark, texts)).collect()}
     assert found == {(0, key), (1, key), (2, key), (3, "aBcDeFgH")}
+
+
+def test_words_are_those_of_the_plain_rules_and_cheaper():
+    def plain(text):
+        marked = toxicity._MARKS.sub("", text.lower())
+        joined = toxicity._SINGLES.sub(lambda m: m.group().replace(" ", ""), marked if text.isascii() else marked.translate(toxicity._FOLD))
+        out = set(joined.split())
+        for word in [w for w in out if len(w) > toxicity.LONGEST]:
+            out.discard(word)
+            out.update(word[i : i + toxicity.LONGEST] for i in range(0, len(word), toxicity.LONGEST // 2))
+        return out
+
+    rng = np.random.default_rng(0)
+    every = [chr(c) for c in (*range(0x600), *range(0x1E00, 0x2200), 0x3000, 0xFB01, 0xFF21, 0x1F600)]
+    texts = ["", "a b c", "a b  c d", "A b c d e\u0085f", "i d i o t x", "İstanbul K̈ ᾳ", "x" * 100, "".join(every)]
+    for pool in (every[:128], every, [*"ab  .1_é Ä\t\x1c"]):
+        texts += ["".join(rng.choice(pool, 200)) for _ in range(200)]
+    for text in texts:
+        assert toxicity.words(text) == plain(text), ascii(text)
+
+    # Characters are not looked up one by one.
+    calls = []
+    marks, toxicity._MARKS = toxicity._MARKS, type("Seen", (), {"sub": lambda self, to, t: calls.append(t) or marks.sub(to, t)})()
+    try:
+        toxicity.words("wörds, wörds. " * 500)
+    finally:
+        toxicity._MARKS = marks
+    assert all(len(t) == 1 for t in calls)
