@@ -102,6 +102,31 @@ def test_pairs_at_the_limit_inside_a_template_family(spark, own, shared):
     assert sorted(map(tuple, found)) == wanted
 
 
+def test_full_comparison_copies_rows_by_blocks(spark, monkeypatch):
+    """60 unlinked members of one path, in blocks of 30: all pairs are found, once each."""
+    monkeypatch.setattr(neardup, "BLOCK", 30)
+    sketch = bytearray(b"s" * neardup.SKETCH)
+    rows = [(5, bytes([i]), 100, 100, sketch, bytes([i]), 60, bytes([0]), 59) for i in range(60)]
+    names = "path long, node binary, n long, f long, sketch binary, comp binary, m long, main binary, others long"
+    large = spark.createDataFrame(rows, names)
+    found = {(bytes(a), bytes(b)) for a, b in neardup._pairs_in_full(large, 0).collect()}
+    assert found == {(bytes([i]), bytes([j])) for i in range(60) for j in range(i + 1, 60)}
+
+
+def test_a_passage_makes_no_pairs_of_unlike_documents(spark, monkeypatch):
+    """Documents of one passage and own words, unlinked but for two: only like pairs are candidates."""
+    seen = []
+    plain = neardup.confirmed
+    monkeypatch.setattr(neardup, "confirmed", lambda pairs, *rest: (seen.append(pairs.count()), plain(pairs, *rest))[1])
+    draw = random.Random(8)
+    passage = prose(900, 160).split()
+    texts = [" ".join(passage + ["own%d" % draw.randrange(10**9) for _ in range(40)]) for _ in range(150)]
+    texts.append(texts[70] + " end")
+    found = neardup.near_components(documents(spark, texts)).collect()
+    assert sorted(map(tuple, found)) == brute_components(texts)
+    assert seen[-1] < 150  # of 11,325 pairs
+
+
 @pytest.mark.parametrize("shape", ["path", "star", "cycle"])
 def test_components_of_any_shape(spark, shape):
     ends = {"path": [(i, i + 1) for i in range(60)], "star": [(0, i) for i in range(1, 200)], "cycle": [(i, (i + 1) % 40) for i in range(40)]}
