@@ -113,6 +113,51 @@ def test_full_comparison_copies_rows_by_blocks(spark, monkeypatch):
     assert found == {(bytes([i]), bytes([j])) for i in range(60) for j in range(i + 1, 60)}
 
 
+def test_full_comparison_returns_no_more_links_than_rows(spark, monkeypatch):
+    """90 near copies on one path: links in blocks of 30 join what brute force joins."""
+    monkeypatch.setattr(neardup, "BLOCK", 30)
+    draw = random.Random(11)
+    base = prose(700, 120)
+    texts = [edited(base, draw, draw.choice((0.01, 0.02, 0.2))) for _ in range(90)]
+    sketch = bytearray(b"s" * neardup.SKETCH)
+    sizes = [len(shingle_set(t)) for t in texts]
+    rows = [(5, bytes([i]), n, n, sketch, bytes([i]), 90, bytes([200]), 90) for i, n in enumerate(sizes)]
+    names = "path long, node binary, n long, f long, sketch binary, comp binary, m long, main binary, others long"
+    pairs = spark.createDataFrame([(bytearray([i]), t) for i, t in enumerate(texts)], "node binary, text string")
+    found = neardup._pairs_in_full(spark.createDataFrame(rows, names), 0, pairs).collect()
+    wanted = brute_components(texts)
+    low = list(range(90))
+    for a, b in ((bytes(a)[0], bytes(b)[0]) for a, b in found):
+        low = [min(low[a], low[b]) if x in (low[a], low[b]) else x for x in low]
+    assert low == [root for _, _, root, _ in wanted]
+    assert 1 < len(set(low)) < 90 and len(found) < 3 * 90  # of over 900 linked pairs
+
+
+def test_wide_paths_branch_and_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL", 4)
+    monkeypatch.setattr(neardup, "WIDE", 8)
+    levels = []
+    plain = neardup._branches
+    monkeypatch.setattr(neardup, "_branches", lambda wide, level: (levels.append(level), plain(wide, level))[1])
+    draw = random.Random(12)
+    parts = [prose(800 + k, 15) for k in range(20)]
+    texts = [" ".join(parts[k] for k in sorted(draw.sample(range(20), 14))) for _ in range(60)]
+    found = neardup.near_components(documents(spark, texts)).collect()
+    assert sorted(map(tuple, found)) == brute_components(texts)
+    assert levels
+
+
+def test_released_tables_go_in_one_write_and_kept_ones_stay(spark):
+    scratch = Scratch(spark)
+    numbers = scratch.store(spark.range(5))
+    kept = scratch.store(spark.range(7), keep=True)
+    folder = scratch.folder
+    assert numbers.count() == 5
+    scratch.release()
+    assert spark.read.parquet(folder).count() == 0 and kept.count() == 7
+    assert scratch.store(spark.range(3)).count() == 3
+
+
 def test_a_passage_makes_no_pairs_of_unlike_documents(spark, monkeypatch):
     """Documents of one passage and own words, unlinked but for two: only like pairs are candidates."""
     seen = []
