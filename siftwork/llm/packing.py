@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftwork.llm.bpe import byte_symbols
-from siftwork.llm.common import Scratch, slices, together
+from siftwork.llm.common import BATCH, Scratch, slices, together
 from siftwork.operators.ordering import position_within
 
 CAPACITY = 4096
@@ -238,5 +238,5 @@ def packed_documents(
     """Place of every piece, with the CRC-32 of its ids instead of the ids."""
     pieces = token_pieces(df, path, key, text, capacity, end_id)
     narrow = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(Scratch(df.sparkSession).store(narrow, keep=True), key, capacity)
+    return pack(Scratch(df.sparkSession, BATCH).store(narrow, keep=True), key, capacity)
 

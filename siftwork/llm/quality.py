@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftwork.llm.common import text_bytes
+from siftwork.llm.common import slices, text_bytes
 
 MAX_FIT_ROWS = 20_000
 TREES, DEPTH, RATE, BINS, SMALLEST_LEAF = 60, 4, 0.2, 64, 20
@@ -129,7 +129,7 @@ def with_statistics(df: DataFrame, text: str = "text", features: str = "features
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [measure(t) for t in text_bytes(batch.column(text))]
             counts = np.array([r[0] for r in rows], np.int64).reshape(len(rows), len(BASE))
             values = np.array([r[1] for r in rows], np.float64).reshape(len(rows), len(FEATURES))

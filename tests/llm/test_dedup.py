@@ -4,11 +4,12 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from siftwork.llm import neardup, repeats
-from siftwork.llm.common import Scratch
+from siftwork.llm.common import BATCH, BATCH_ROWS, Scratch
 from siftwork.llm.components import components
 
 from .helpers import awkward, documents, prose
@@ -158,6 +159,29 @@ def test_released_tables_go_in_one_write_and_kept_ones_stay(spark):
     assert scratch.store(spark.range(3)).count() == 3
 
 
+def test_small_batches_hold_few_rows_and_the_setting_is_put_back(spark):
+    """What an executor and a worker hold of a wide frame is bounded where it is stored, not after."""
+
+    def size(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    was = spark.conf.get(BATCH_ROWS)
+    seen = Scratch(spark, BATCH).store(spark.range(5000).coalesce(1).mapInArrow(size, "n long"))
+    assert sorted(r["n"] for r in seen.collect()) == sorted([BATCH] * (5000 // BATCH) + [5000 % BATCH])
+    assert spark.conf.get(BATCH_ROWS) == was
+
+
+def test_operators_of_wide_rows_store_in_small_batches(spark, monkeypatch):
+    made = []
+    plain = Scratch.store
+    monkeypatch.setattr(Scratch, "store", lambda self, *rest, **named: (made.append(self.batch), plain(self, *rest, **named))[1])
+    docs = documents(spark, [prose(1, 200), prose(1, 200) + " end", prose(2, 200)])
+    neardup.near_components(docs)
+    repeats.without_repeats(docs)
+    assert made and set(made) == {BATCH}
+
+
 def test_a_passage_makes_no_pairs_of_unlike_documents(spark, monkeypatch):
     """Documents of one passage and own words, unlinked but for two: only like pairs are candidates."""
     seen = []
