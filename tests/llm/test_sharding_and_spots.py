@@ -24,6 +24,31 @@ def test_shards_are_even_gapless_and_keep_groups(spark):
     assert split.loc["hot text", "nunique"] <= 2 + 500 // (len(texts) // 24)
 
 
+def test_all_linked_rows_take_part_in_the_rounds(spark, monkeypatch):
+    texts = ["hot text"] * 500 + ["warm text"] * 130 + [prose(i // 3, 20) for i in range(300)] + [f"own {i}" for i in range(70)]
+    seen = {}
+    rounds = sharding.propagate
+
+    def propagate(state, caps, *rest):
+        seen.update(rows=state.count(), links=state.select("link").distinct().count(), shards=len(caps))
+        out = rounds(state, caps, *rest)
+        seen.update(out=out.count())
+        return out
+
+    monkeypatch.setattr(sharding, "propagate", propagate)
+    rows = sharding.shard_texts(documents(spark, texts), 10).toPandas()
+    assert seen == {"rows": 930, "links": 102, "shards": 10, "out": 930}
+    assert rows.groupby("shard").size().tolist() == [100] * 10
+    rows["text"] = [texts[i] for i in rows.doc_id]
+    split = rows.groupby("text").shard.nunique()
+    assert split["hot text"] == 5 and split["warm text"] <= 3
+
+
+def test_a_link_that_fills_all_shards(spark):
+    rows = sharding.shard_texts(documents(spark, ["hot"] * 41), 4).toPandas()
+    assert sorted(rows.doc_id) == list(range(41)) and sorted(rows.groupby("shard").size()) == [10, 10, 10, 11]
+
+
 def test_few_rows_repeated_rows_and_none(spark):
     rows = sharding.shard_texts(documents(spark, [(5, "a"), (5, "a"), (None, None)]), 4).toPandas()
     assert len(rows) == 3 and rows.groupby("shard").size().max() == 1
