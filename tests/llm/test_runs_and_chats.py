@@ -233,6 +233,32 @@ def test_conversations_read_back(spark, monkeypatch):
     assert chats.format_conversations(df.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("strip", [chats.STRIP, 90])
+def test_rewrites_of_old_turns_are_seen(spark, monkeypatch, strip):
+    def resummed(given):  # heads the output with a count that changes at some turns: each rewrites all turns before it
+        resets = [t for _, t in given if t.endswith("reset")]
+        return f"<{len(resets)}>" + "".join(f"[{r}]{t}|" for r, t in given)
+
+    monkeypatch.setattr(chats, "STRIP", strip)
+    sizes = {1: (40, [30]), 2: (50, []), 3: (600, [25, 410]), None: (300, [299])}
+    rows = [(c, i, "user", f"t{i}" + " reset" * (i in resets)) for c, (n, resets) in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {}
+    for r in chats.format_conversations(df, resummed).orderBy("conv", "block").collect():
+        found.setdefault(r.conv, []).append(r)
+    for c, (n, resets) in sizes.items():
+        turns = [(r, t) for k, _, r, t in rows if k == c]
+        assert [r.block for r in found[c]] == list(range(-(-n // chats.BLOCK)))
+        assert "".join(r.formatted for r in found[c]) == resummed(turns)
+        spans = [(r.formatted, s) for r in found[c] for s in r.spans]
+        assert [i for i, (_, s) in enumerate(spans) if s.rewrites] == resets
+        for i, ((text, s), turn) in enumerate(zip(spans, turns, strict=True)):
+            if i < max(resets, default=0):
+                assert s.begin is None and s.text_begin is None
+            elif i not in resets:
+                assert text[s.text_begin : s.text_end] == turn[1]
+
+
 def test_heavy_conversations_keep_null_keys(spark):
     df = spark.range(600).selectExpr("cast(null as long) conv_id", "id turn", "'user' role", "cast(id as string) text")
     row = chats.conversation_digests(chats.read_back(chats.format_conversations(df))).collect()
