@@ -313,3 +313,22 @@ def test_words_of_few_rows_are_python_strings_at_a_time():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert counted == rows and peak < 2 << 20  # all at once are over 10 MB
+
+
+def test_full_vectors_hold_shingles_of_like_length(monkeypatch):
+    rng = random.Random(6)
+    lists = [["".join(rng.choices("abc", k=rng.choice([1, 4, 9, 30]))) for _ in range(rng.randint(0, 60))] for _ in range(60)]
+    full = []
+    hashed = minhash.hash_strings
+
+    def recorded(strings, num_hashes):
+        if len(strings) == minhash._VECTOR:
+            full.append({len(s) // 4 if len(s) < 64 else 16 for s in strings})
+        return hashed(strings, num_hashes)
+
+    monkeypatch.setattr(minhash, "_VECTOR", 40)
+    monkeypatch.setattr(minhash, "_FEW", 20)  # both ways of hashing
+    monkeypatch.setattr(minhash, "hash_strings", recorded)
+    signs = minhash._signatures(lists, len(lists), 128, 3)
+    assert signs.tolist() == [_plain_signature(" ".join(ws)) for ws in lists]
+    assert len(full) > 10 and sum(len(sizes) > 1 for sizes in full) <= 3  # left-overs may fill a vector by chance
